@@ -66,7 +66,7 @@ def bonus_amount(balance, rate) -> Column:
 
 def valid_annual_rate(c) -> Column:
     """Text or number that is a finite decimal above -100 (NaN and junk rejected)."""
-    d = F.try_cast(_c(c).cast("string"), "decimal(18,8)")
+    d = _c(c).cast("string").try_cast("decimal(18,8)")
     return d.isNotNull() & (d > F.lit(-100))
 
 

@@ -20,7 +20,7 @@ def annual_to_daily_rate(annual: DataFrame, rate_col: str = "annual_rate") -> Da
 def reject_bad_rates(annual: DataFrame, rate_col: str = "annual_rate") -> tuple[DataFrame, DataFrame]:
     """Split into rows whose rate is a finite decimal > -100 and the rest."""
     ok = valid_annual_rate(rate_col)
-    good = annual.where(ok).withColumn(rate_col, F.try_cast(F.col(rate_col).cast("string"), "double"))
+    good = annual.where(ok).withColumn(rate_col, F.col(rate_col).cast("string").try_cast("double"))
     bad = annual.where(~ok | ok.isNull()).withColumn("reason", F.lit("not a decimal rate above -100"))
     return good, bad
 

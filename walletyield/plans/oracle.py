@@ -146,4 +146,7 @@ def with_views(sql: str) -> str:
     if not names:
         return sql.strip()
     body = ",\n".join(f"{n} AS (\n{CTES[n]}\n)" for n in names)
-    return f"WITH {body}\n{sql.strip()}"
+    q = sql.strip()
+    if re.match(r"(?is)^with\s", q):
+        return f"WITH {body},\n{q[4:].lstrip()}"
+    return f"WITH {body}\n{q}"

@@ -66,6 +66,22 @@ def payouts_day(history: DataFrame, rates: DataFrame, day: dt.date,
                     bonus_amount("balance_at_start_of_day", "daily_rate").alias("calculated_amount")))
 
 
+def eligible_days(history: DataFrame, period: DataFrame, cfg: Thresholds = DEFAULT) -> DataFrame:
+    """``(payout_date, user_id, balance_at_start_of_day, last_movement_timestamp)``
+    for every day of the period on which the user's start-of-day balance
+    passes both rules (before the rate lookup). See :func:`payouts_period`."""
+    p = period.select(F.col("start_date").alias("_lo"), F.col("end_date").alias("_hi"))
+    first = F.greatest(F.col("_lo"), F.date_add(F.to_date("ts"), 1), first_hold_day("ts", cfg.hold_hours))
+    last = F.least(F.col("_hi"), F.coalesce(F.to_date("nxt"), F.col("_hi")))
+    spans = (history.where(F.col("balance") > F.lit(cfg.min_balance))
+             .crossJoin(F.broadcast(p))
+             .select("user_id", "balance", "ts", first.alias("_f"), last.alias("_t"))
+             .where(F.col("_f") <= F.col("_t")))
+    return spans.select(F.explode(F.sequence("_f", "_t")).alias("payout_date"), "user_id",
+                        F.col("balance").alias("balance_at_start_of_day"),
+                        F.col("ts").alias("last_movement_timestamp"))
+
+
 def payouts_period(history: DataFrame, rates: DataFrame, period: DataFrame,
                    cfg: Thresholds = DEFAULT) -> DataFrame:
     """Payouts for every day of ``period`` in one set-based plan.
@@ -77,20 +93,12 @@ def payouts_period(history: DataFrame, rates: DataFrame, period: DataFrame,
     look-back. Ties at one instant give an empty range to all but the last
     ``seq``. The explode emits exactly the output rows.
     """
-    p = period.select(F.col("start_date").alias("_lo"), F.col("end_date").alias("_hi"))
     days = calendar(period)
     # one row per day of the period: bounded by the period length
     rate = F.broadcast(rate_asof(days, rates, cfg).select("payout_date", "daily_rate"))
-    first = F.greatest(F.col("_lo"), F.date_add(F.to_date("ts"), 1), first_hold_day("ts", cfg.hold_hours))
-    last = F.least(F.col("_hi"), F.coalesce(F.to_date("nxt"), F.col("_hi")))
-    spans = (history.where(F.col("balance") > F.lit(cfg.min_balance))
-             .crossJoin(F.broadcast(p))
-             .select("user_id", "balance", first.alias("_f"), last.alias("_t"))
-             .where(F.col("_f") <= F.col("_t")))
-    exploded = spans.select("user_id", "balance",
-                            F.explode(F.sequence("_f", "_t")).alias("payout_date"))
-    return exploded.join(rate, "payout_date").select(
-        "payout_date", "user_id", bonus_amount("balance", "daily_rate").alias("calculated_amount"))
+    return eligible_days(history, period, cfg).join(rate, "payout_date").select(
+        "payout_date", "user_id",
+        bonus_amount("balance_at_start_of_day", "daily_rate").alias("calculated_amount"))
 
 
 def run_audit(history: DataFrame, rates: DataFrame, payouts: DataFrame, period: DataFrame,
