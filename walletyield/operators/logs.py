@@ -79,7 +79,7 @@ def step_match(parsed: DataFrame, steps: DataFrame) -> DataFrame:
     The step list is a small fixed list, so it is broadcast and the theta
     join runs map-side.
     """
-    return parsed.join(F.broadcast(steps), F.col("message").rlike(F.col("step")))
+    return parsed.join(F.broadcast(steps), F.regexp(F.col("message"), F.col("step")))
 
 
 def step_first_seen(parsed: DataFrame, steps: DataFrame) -> DataFrame:
