@@ -70,7 +70,10 @@ def log_summary(parsed: DataFrame) -> DataFrame:
 
 
 def steps_frame(spark: SparkSession, steps: list[str]) -> DataFrame:
-    return spark.createDataFrame([(i + 1, s) for i, s in enumerate(steps)], "step_no int, step string")
+    """The step list as a small literal table (built JVM-side)."""
+    rows = F.array(*[F.struct(F.lit(i + 1).alias("step_no"), F.lit(s).alias("step"))
+                     for i, s in enumerate(steps)])
+    return spark.range(1).select(F.inline(rows))
 
 
 def step_match(parsed: DataFrame, steps: DataFrame) -> DataFrame:

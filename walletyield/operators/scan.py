@@ -86,6 +86,14 @@ def _renamed(df: DataFrame, cols: list[str], prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) if c in cols else F.col(c) for c in df.columns])
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the optimized plan (no job is run)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate unavailable: be conservative
+        return None
+
+
 def hot_keys(df: DataFrame, key: list[str], fanout: int) -> DataFrame:
     """Keys holding more than ``1/fanout`` of all rows: at most ``fanout`` rows.
 
@@ -103,7 +111,7 @@ def keyed_scan(df: DataFrame, key: list[str], order: list[str],
                scans: dict[str, tuple[str, Column]],
                leads: dict[str, Column] | None = None, *,
                fanout: int | None = None, range_partitions: int | None = None,
-               split_hot: bool = True) -> DataFrame:
+               split_hot: bool = True, small_input_bytes: int = 64 << 20) -> DataFrame:
     """Append running aggregates (``scans``) and next-row values (``leads``).
 
     ``scans`` maps output name -> (op, expression); ``leads`` maps output
@@ -135,6 +143,10 @@ def keyed_scan(df: DataFrame, key: list[str], order: list[str],
     if not split_hot:
         return plain(df)
 
+    # An input whose estimated size fits one task can't be hurt by skew.
+    est = estimated_bytes(df)
+    if est is not None and est <= small_input_bytes:
+        return plain(df)
     hot = hot_keys(df, key, fanout)
     # At most ``fanout`` rows by construction; a cheap key-only aggregate.
     # When no key is hot (the usual case) the plan is one exchange + window.

@@ -32,7 +32,7 @@ def resolve_period(bounds: DataFrame, as_of: dt.date, start: dt.date | None = No
     if start is not None and end is not None:
         if start > end:
             raise ValueError("The start date cannot be after the end date.")
-        return spark.createDataFrame([(start, end)], "start_date date, end_date date")
+        return one_row_period(spark, start, end)
     if (start is None) != (end is None):
         raise ValueError("Give both start and end, or neither.")
     return bounds.select(
@@ -47,7 +47,13 @@ def calendar(period: DataFrame, day_col: str = "payout_date") -> DataFrame:
 
 
 def calendar_range(spark: SparkSession, lo: dt.date, hi: dt.date, day_col: str = "payout_date") -> DataFrame:
-    return calendar(spark.createDataFrame([(lo, hi)], "start_date date, end_date date"), day_col)
+    return calendar(one_row_period(spark, lo, hi), day_col)
+
+
+def one_row_period(spark: SparkSession, lo: dt.date, hi: dt.date) -> DataFrame:
+    """A literal one-row period, built JVM-side (no Python RDD)."""
+    return spark.range(1).select(F.lit(lo).cast("date").alias("start_date"),
+                                 F.lit(hi).cast("date").alias("end_date"))
 
 
 def payouts_day(history: DataFrame, rates: DataFrame, day: dt.date,
