@@ -66,12 +66,15 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def not_null_guard(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Fail the write (at run time, in the tasks) if a NOT NULL column has a NULL."""
-    checks = [F.when(F.col(f.name).isNull(),
-                     F.raise_error(F.lit(f"NULL in NOT NULL column {f.name}")))
-              for f in schema.fields if not f.nullable]
-    if not checks:
-        return df
-    return df.withColumn("_nn", F.coalesce(*checks, F.lit(None))).drop("_nn")
+    cols = []
+    for f in schema.fields:
+        c = F.col(f.name)
+        if not f.nullable:
+            # the check sits inside the written value, so it can't be pruned away
+            c = F.when(c.isNull(), F.raise_error(F.lit(f"NULL in NOT NULL column {f.name}"))) \
+                .otherwise(c).cast(f.dataType)
+        cols.append(c.alias(f.name, metadata=f.metadata))
+    return df.select(*cols)
 
 
 def write_table(df: DataFrame, path: str, schema: T.StructType | None = None,

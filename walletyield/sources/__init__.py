@@ -13,18 +13,31 @@ from walletyield.config import RAW_CDC_CSV
 
 def read_cdc_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CDC_CSV,
                  corrupt_col: str = "_corrupt") -> tuple[DataFrame, DataFrame]:
-    """Header CSV with an explicit schema (PERMISSIVE: bad cells -> NULL).
+    """Header CSV read as text, then typed with ``try_cast``.
 
-    Returns ``(valid, corrupt)``: rows whose id or amount did not parse are
-    routed to ``corrupt`` with the raw line, instead of entering the ledger
-    as NULLs unnoticed.
+    Returns ``(valid, corrupt)``: rows with a cell that does not cast to the
+    declared type go to ``corrupt`` (raw cells joined in ``_corrupt``)
+    instead of entering the ledger as NULLs unnoticed. Typing after the read
+    keeps the check independent of CSV column pruning.
     """
-    s = T.StructType(list(schema.fields) + [T.StructField(corrupt_col, T.StringType(), True)])
-    raw = (spark.read.schema(s).option("header", True)
-           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col)
-           .csv(path))
-    bad = F.col(corrupt_col).isNotNull()
-    return raw.where(~bad).drop(corrupt_col), raw.where(bad)
+    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+    raw = spark.read.schema(text).option("header", True).csv(path)
+    typed, bad = [], []
+    for f in schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.StringType):
+            typed.append(c.alias(f.name))
+            continue
+        v = F.trim(c).try_cast(f.dataType)
+        typed.append(v.alias(f.name))
+        bad.append(c.isNotNull() & (F.trim(c) != "") & v.isNull())
+    is_bad = F.lit(False)
+    for b in bad:
+        is_bad = is_bad | b
+    raw_line = F.concat_ws(",", *[F.coalesce(F.col(f.name), F.lit("")) for f in schema.fields])
+    out = raw.select(*typed, F.when(is_bad, raw_line).alias(corrupt_col))
+    return (out.where(F.col(corrupt_col).isNull()).drop(corrupt_col),
+            out.where(F.col(corrupt_col).isNotNull()))
 
 
 def read_table(spark: SparkSession, fmt: str = "parquet", path: str | None = None,
