@@ -105,6 +105,19 @@ def balance_upsert_batch(batch: DataFrame, batch_id: int, state_path: str, out_p
     newest.write.mode("overwrite").parquet(f"{state_path}/v={batch_id}")
 
 
+def write_in_time_slices(df: DataFrame, path: str, slices: int = 4, ts: str = "ts") -> None:
+    """Land a feed as ``slices`` successive appends in time order (a file
+    stream picks files up by arrival, like a real CDC landing zone)."""
+    lo, hi = df.agg(F.min(ts), F.max(ts)).first()
+    span = (hi - lo) / slices
+    for i in range(slices):
+        a = lo + span * i
+        cond = F.col(ts) >= F.lit(a) if i else F.lit(True)
+        if i < slices - 1:
+            cond = cond & (F.col(ts) < F.lit(lo + span * (i + 1)))
+        df.where(cond).write.mode("append").parquet(path)
+
+
 def run_available_now(df: DataFrame, checkpoint: str, sink_path: str | None = None,
                       foreach_batch=None, output_mode: str = "append") -> None:
     """Drive a stream over all available input, then stop (bounded test runs)."""

@@ -24,8 +24,7 @@ def _write_input(spark, sf, base, with_replays=False):
     c = X.cdc(spark, sf)
     if with_replays:
         c = c.unionByName(c.where(F.col("seq") % 20 == 0))
-    # range-partitioned by time: the files arrive in time order, several per run
-    c.repartitionByRange(16, "ts").write.mode("overwrite").parquet(f"{base}/in")
+    S.write_in_time_slices(c, f"{base}/in", slices=4)
     return f"{base}/in"
 
 
