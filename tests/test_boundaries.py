@@ -14,7 +14,7 @@ from walletyield.operators.ledger import wallet_history
 from walletyield.operators.rates import reject_bad_rates
 from walletyield.operators.sinks import replace_days
 from walletyield.plans.payouts import (payouts_day, payouts_period, processed_days,
-                                       resolve_period, run_audit)
+                                       publishable_days, resolve_period, run_audit)
 
 DAY = dt.date(2024, 5, 15)
 RATE = [("2024-05-15", "0.001")]
@@ -99,6 +99,10 @@ def test_period_rules(spark):
     assert calendar(resolve_period(empty, DAY)).count() == 0
 
 
+def rows_of(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
 def test_republish_rules(spark):
     old = spark.createDataFrame([(dt.date(2024, 5, 15), 1, Decimal("9.99")), (dt.date(2024, 5, 16), 1, Decimal("9.99"))],
                                 "payout_date date, user_id long, calculated_amount decimal(18,2)")
@@ -112,6 +116,7 @@ def test_republish_rules(spark):
     st = {r.payout_date.day: r.status for r in audit.collect()}
     assert st[15] == "NONE_ELIGIBLE"
     out = replace_days(old, new, processed_days(audit))
+    assert rows_of(publishable_days(h, rates, period)) == rows_of(processed_days(audit))
     days = sorted(r.payout_date.day for r in out.collect())
     assert 15 not in days  # day emptied
     # republish twice = once
@@ -129,6 +134,7 @@ def test_republish_keeps_day_without_rate(spark):
     new = payouts_period(h, rates, period)
     audit = run_audit(h, rates, new, period)
     assert audit.collect()[0].status == "NO_RATE"
+    assert publishable_days(h, rates, period).count() == 0
     out = replace_days(old, new, processed_days(audit))
     assert [tuple(r) for r in out.collect()] == [(dt.date(2024, 5, 15), 1, Decimal("9.99"))]
 

@@ -35,5 +35,5 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     # importing the query modules fills REGISTRY
-    from walletyield.plans import q_core, q_logs, q_metrics, q_quality, q_sinks  # noqa: F401
+    from walletyield.plans import q_core, q_io, q_logs, q_metrics, q_quality, q_sinks  # noqa: F401
     from walletyield.streaming import queries as _sq  # noqa: F401

@@ -125,6 +125,15 @@ SELECT payout_date, COUNT(DISTINCT user_id) AS eligible_users_count
 FROM payouts_seeded GROUP BY payout_date""")
 
 
+# Second-precision variants (inputs that went through the CDC CSV, whose
+# timestamps carry whole seconds): same definitions over ``cdc_s``.
+cte("cdc_s", "SELECT seq, user_id, date_trunc('second', ts) AS ts, amount_change FROM cdc")
+_SEC = ["history", "bounds", "period", "days", "rate_asof", "snapshots", "eligible", "payouts"]
+for _n in _SEC:
+    CTES[_n + "_s"] = re.sub(r"\b(cdc|history|bounds|period|days|rate_asof|snapshots|eligible)\b",
+                             lambda m: m.group(1) + "_s", CTES[_n])
+
+
 def _deps(sql: str) -> list[str]:
     seen: list[str] = []
 

@@ -142,5 +142,19 @@ def processed_days(audit: DataFrame) -> DataFrame:
     return audit.where(F.col("status").isin("PAID", "NONE_ELIGIBLE")).select("payout_date")
 
 
+def publishable_days(history: DataFrame, rates: DataFrame, period: DataFrame,
+                     cfg: Thresholds = DEFAULT) -> DataFrame:
+    """Days of the period that have a rate in the look-back and history before
+    them: the days a run republishes. Unlike :func:`processed_days` it does not
+    depend on the payouts, so the publish plan computes the payouts once."""
+    days = calendar(period)
+    rate = rate_asof(days, rates, cfg).select("payout_date")
+    first_move = history.agg(F.min("ts").alias("_first_ts"))
+    return (days.join(F.broadcast(rate), "payout_date")
+            .crossJoin(F.broadcast(first_move))
+            .where(F.col("_first_ts") < F.col("payout_date").cast("timestamp_ntz"))
+            .select("payout_date"))
+
+
 def auto_period(history: DataFrame, as_of: dt.date) -> DataFrame:
     return resolve_period(period_bounds(history), as_of)

@@ -20,7 +20,7 @@ from walletyield.config import (DAILY_PAYOUTS, DAILY_RATES, DEFAULT, USERS, WALL
 from walletyield.operators import sinks
 from walletyield.operators.ledger import parse_cdc, period_bounds, wallet_history
 from walletyield.operators.rates import load_rates
-from walletyield.plans.payouts import payouts_period, processed_days, resolve_period, run_audit
+from walletyield.plans.payouts import payouts_period, publishable_days, resolve_period, run_audit
 from walletyield.sources import read_cdc_csv, read_rate_series, user_ids_range
 
 
@@ -112,7 +112,7 @@ def pipeline_main(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     new = payouts_period(with_next, rates, period, cfg.thresholds)
     audit = run_audit(history, rates, new, period, cfg.thresholds)
     target = read_latest(spark, f"{base}/daily_bonus_payouts", DAILY_PAYOUTS)
-    published = sinks.replace_days(target, new, processed_days(audit))
+    published = sinks.replace_days(target, new, publishable_days(history, rates, period, cfg.thresholds))
     paths["daily_bonus_payouts"] = publish(published, f"{base}/daily_bonus_payouts", cfg.run_id,
                                            DAILY_PAYOUTS, partition_by=["payout_date"])
     audit.write.mode("overwrite").parquet(f"{base}/run_audit/v={cfg.run_id}")

@@ -31,8 +31,7 @@ def q_replace_days(spark, sf):
     rates = X.rates(spark, sf)
     period = P.resolve_period(_bounds(spark, sf), X.AS_OF, LO, HI)
     new = P.payouts_period(h, rates, period)
-    audit = P.run_audit(h, rates, new, period)
-    return S.replace_days(target, new, P.processed_days(audit))
+    return S.replace_days(target, new, P.publishable_days(X.cdc(spark, sf), rates, period))
 
 
 def _bounds(spark, sf):
