@@ -23,9 +23,20 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def _pinned(fn: Builder) -> Builder:
+    """Run a builder with the session zone pinned to UTC:
+    midnights, intervals and text times are defined in UTC."""
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+    build.__name__ = getattr(fn, "__name__", "query")
+    build.__doc__ = fn.__doc__
+    return build
+
+
 def queries() -> dict[str, Builder]:
     _load()
-    return {k: v[0] for k, v in REGISTRY.items()}
+    return {k: _pinned(v[0]) for k, v in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -242,7 +242,7 @@ def q_monotonic_timestamps(spark, sf):
     return L.monotonic_timestamps(X.cdc(spark, sf).select("seq", "ts"), "ts", ["seq"])
 
 
-@register("sorted_events")
+@register("sorted_events", "SELECT seq, user_id, ts, amount_change FROM cdc ORDER BY ts, seq")
 def q_sorted_events(spark, sf):
     return L.sorted_events(X.cdc(spark, sf))
 
@@ -293,3 +293,12 @@ def q_load_rates(spark, sf):
     current = X.rates(spark, sf).select(F.date_sub("rate_date", 30).alias("rate_date"), "daily_rate")
     table, _ = R.load_rates(_raw_rate_text(spark), L.period_bounds(X.cdc(spark, sf)), current, X.AS_OF)
     return table
+
+
+@register("monotonic_timestamps_by_user", """
+WITH n AS (SELECT seq, user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, seq) AS rn FROM cdc)
+SELECT seq, user_id, make_timestamp(1000000 * rn + max(epoch_us(ts) - 1000000 * rn)
+           OVER (PARTITION BY user_id ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS ts
+FROM n""")
+def q_monotonic_timestamps_by_user(spark, sf):
+    return L.monotonic_timestamps(X.cdc(spark, sf).select("seq", "user_id", "ts"), "ts", ["seq"], by=["user_id"])

@@ -83,3 +83,12 @@ def q_cdc_validation(spark, sf):
     p = X.cdc_raw(spark, sf).withColumn("ts", parse_cdc_ts("ts"))
     _, rejected = Q.cdc_validation(p)
     return rejected.select("seq", "reason")
+
+
+@register("limit_10", _RULE_SQL.format(
+    rule="h.balance <= 100 AND CAST(p.payout_date AS TIMESTAMP) - h.ts < INTERVAL 24 HOUR")
+    + "\nORDER BY p.payout_date DESC, p.user_id, p.calculated_amount, h.ts LIMIT 10")
+def q_limit_10(spark, sf):
+    """The dashboard's LIMIT 10 on the rule check, under a total order."""
+    out = Q.rule_check(X.payouts_seeded(spark, sf), X.history(spark, sf), mode="both")
+    return out.orderBy(F.col("payout_date").desc(), "user_id", "calculated_amount", "last_movement").limit(10)
