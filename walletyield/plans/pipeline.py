@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from walletyield.config import (DAILY_PAYOUTS, DAILY_RATES, DEFAULT, USERS, WALLET_HISTORY,
                                 Thresholds)
 from walletyield.operators import sinks
-from walletyield.operators.ledger import parse_cdc, period_bounds, wallet_history
+from walletyield.operators.ledger import parse_cdc, period_bounds, validity_intervals, wallet_history
 from walletyield.operators.rates import load_rates
 from walletyield.plans.payouts import payouts_period, publishable_days, resolve_period, run_audit
 from walletyield.sources import read_cdc_csv, read_rate_series, user_ids_range
@@ -108,7 +108,7 @@ def pipeline_main(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
 
     # 4. payouts for the period in one plan, republished by day
     period = resolve_period(bounds, cfg.as_of, cfg.start, cfg.end)
-    with_next = wallet_history(history.select("seq", "user_id", "ts", "amount_change"), with_next=True)
+    with_next = validity_intervals(history).withColumnRenamed("valid_to", "nxt")
     new = payouts_period(with_next, rates, period, cfg.thresholds)
     audit = run_audit(history, rates, new, period, cfg.thresholds)
     target = read_latest(spark, f"{base}/daily_bonus_payouts", DAILY_PAYOUTS)

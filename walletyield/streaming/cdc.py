@@ -12,7 +12,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from walletyield.config import CDC, MONEY
@@ -146,4 +146,4 @@ def latest(spark: SparkSession, table_path: str) -> DataFrame:
 
 
 __all__ = ["read_cdc_stream", "stream_cdc_dedup", "stream_daily_movements", "balance_upsert_batch",
-           "run_available_now", "window_upsert_batch", "latest", "Window"]
+           "run_available_now", "window_upsert_batch", "latest", "write_in_time_slices"]
