@@ -62,9 +62,9 @@ def read_latest(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(v)
 
 
-def publish(df: DataFrame, path: str, run_id: int, schema, partition_by=None) -> str:
+def publish(df: DataFrame, path: str, run_id: int, schema, partition_by=None, cluster_by=None) -> str:
     out = f"{path.rstrip('/')}/v={run_id}"
-    sinks.write_table(df, out, schema, partition_by=partition_by)
+    sinks.write_table(df, out, schema, partition_by=partition_by, cluster_by=cluster_by)
     return out
 
 
@@ -94,7 +94,8 @@ def pipeline_main(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
                              f"{base}/users", cfg.run_id, USERS)
 
     # 2. wallet history (overwrite = a new version)
-    paths["wallet_history"] = publish(hist, f"{base}/wallet_history", cfg.run_id, WALLET_HISTORY)
+    paths["wallet_history"] = publish(hist, f"{base}/wallet_history", cfg.run_id, WALLET_HISTORY,
+                                      cluster_by=["user_id", "ts", "seq"])
     quarantine.write.mode("overwrite").parquet(f"{base}/quarantine/v={cfg.run_id}")
     history = spark.read.parquet(paths["wallet_history"])
 
