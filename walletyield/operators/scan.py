@@ -8,8 +8,8 @@ the data alone. ``keyed_scan`` splits the work in two plans that are unioned:
   the key, then a plain window. No key there can exceed ``1/fanout`` of the
   data. Hot keys are found by a key-only count with map-side partial
   aggregation; when there are none, this is the whole plan.
-* **hot keys** (at most ``fanout`` of them, so the broadcast list has a
-  proven bound): range-partitioned on ``(key, order...)`` so every task gets
+* **hot keys** (at most ``fanout`` of them, so the collected list has a
+  proven bound and becomes an IN-list filter pushed to the scan): range-partitioned on ``(key, order...)`` so every task gets
   an equal contiguous slice of the global order, even inside one key. Each
   slice ("segment") computes its local scan; the segment totals (at most
   ``range_partitions + fanout`` rows) are combined by a small window and
@@ -94,6 +94,18 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def _key_in(key: list[str], rows) -> Column:
+    """Null-safe membership of the key in a small list of key tuples."""
+    if len(key) == 1:
+        vals = [r[0] for r in rows]
+        present = [v for v in vals if v is not None]
+        c = F.coalesce(F.col(key[0]).isin(present), F.lit(False)) if present else F.lit(False)
+        return c | F.col(key[0]).isNull() if len(present) < len(vals) else c
+    terms = [reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(v)) for k, v in zip(key, r)])
+             for r in rows]
+    return reduce(lambda a, b: a | b, terms)
+
+
 def hot_keys(df: DataFrame, key: list[str], fanout: int) -> DataFrame:
     """Keys holding more than ``1/fanout`` of all rows: at most ``fanout`` rows.
 
@@ -147,17 +159,15 @@ def keyed_scan(df: DataFrame, key: list[str], order: list[str],
     est = estimated_bytes(df)
     if est is not None and est <= small_input_bytes:
         return plain(df)
-    hot = hot_keys(df, key, fanout)
-    # At most ``fanout`` rows by construction; a cheap key-only aggregate.
-    # When no key is hot (the usual case) the plan is one exchange + window.
-    if not hot.take(1):
+    # At most ``fanout`` keys by construction (a key-only count with map-side
+    # partial aggregation), so the list is small and bounded. When no key is
+    # hot (the usual case) the plan is one exchange + window.
+    hot = hot_keys(df, key, fanout).limit(fanout + 1).collect()
+    if not hot:
         return plain(df)
-    hot = _renamed(hot, key, "_hk_").withColumn("_hot", F.lit(True))
-    # Bounded: at most ``fanout`` keys can each exceed 1/fanout of the rows.
-    flagged = df.join(F.broadcast(hot), _null_safe_on(key, "_hk_"), "left") \
-        .select(*base_cols, "_hot")
-    normal = plain(flagged.where(F.col("_hot").isNull()).select(*base_cols))
-    hot_rows = flagged.where(F.col("_hot").isNotNull()).select(*base_cols)
+    is_hot = _key_in(key, hot)  # IN-list: pushed down to the scan, never NULL
+    normal = plain(df.where(~is_hot))
+    hot_rows = df.where(is_hot)
     seg = _segmented(hot_rows, key, order, scans, leads, parts, base_cols)
     # keep the plain path's types (carry-in sums widen decimals)
     seg = seg.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in normal.schema.fields])

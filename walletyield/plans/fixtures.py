@@ -56,6 +56,14 @@ def cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
                     signed.cast(MONEY).alias("amount_change"))
 
 
+def cdc_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CDC feed with a third of all rows moved to one user (user 0): the
+    hot-key case the keyed scan must split."""
+    c = cdc(spark, sf_dir)
+    return c.withColumn("user_id", F.when(F.col("seq") % 3 == 0, F.lit(0).cast("long"))
+                        .otherwise(F.col("user_id")))
+
+
 def cdc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = cdc(spark, sf_dir)
     s = F.col("seq")

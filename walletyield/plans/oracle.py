@@ -125,6 +125,13 @@ SELECT payout_date, COUNT(DISTINCT user_id) AS eligible_users_count
 FROM payouts_seeded GROUP BY payout_date""")
 
 
+# The skewed ledger: a third of the rows moved to user 0.
+cte("cdc_k", """
+SELECT seq, CASE WHEN seq % 3 = 0 THEN 0 ELSE user_id END AS user_id, ts, amount_change FROM cdc""")
+for _n in ["history", "bounds", "period", "days", "rate_asof", "snapshots", "eligible", "payouts"]:
+    CTES[_n + "_k"] = re.sub(r"\b(cdc|history|bounds|period|days|rate_asof|snapshots|eligible)\b",
+                             lambda m: m.group(1) + "_k", CTES[_n])
+
 # Second-precision variants (inputs that went through the CDC CSV, whose
 # timestamps carry whole seconds): same definitions over ``cdc_s``.
 cte("cdc_s", "SELECT seq, user_id, date_trunc('second', ts) AS ts, amount_change FROM cdc")

@@ -302,3 +302,21 @@ SELECT seq, user_id, make_timestamp(1000000 * rn + max(epoch_us(ts) - 1000000 *
 FROM n""")
 def q_monotonic_timestamps_by_user(spark, sf):
     return L.monotonic_timestamps(X.cdc(spark, sf).select("seq", "user_id", "ts"), "ts", ["seq"], by=["user_id"])
+
+
+# --- the skewed ledger: hot-key detection always on, so the split path runs ---
+
+SKEW = {"small_input_bytes": 0}
+
+
+@register("wallet_history_skewed", "SELECT seq, user_id, ts, amount_change, balance FROM history_k")
+def q_wallet_history_skewed(spark, sf):
+    return L.wallet_history(X.cdc_skewed(spark, sf), **SKEW).select(
+        "seq", "user_id", "ts", "amount_change", "balance")
+
+
+@register("payouts_period_skewed", "SELECT payout_date, user_id, calculated_amount FROM payouts_k")
+def q_payouts_period_skewed(spark, sf):
+    c = X.cdc_skewed(spark, sf)
+    h = L.wallet_history(c, with_next=True, **SKEW)
+    return P.payouts_period(h, X.rates(spark, sf), P.auto_period(c, X.AS_OF))
