@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walletyield.config import DEFAULT, Thresholds
+from walletyield.config import DEFAULT, TABLE_SCHEMAS, UNIQUE_KEYS, Thresholds
 from walletyield.operators.asof import asof_join
 
 
@@ -80,3 +80,29 @@ def cdc_validation(cdc: DataFrame) -> tuple[DataFrame, DataFrame]:
     tagged = cdc.withColumn("reason", reason)
     return (tagged.where(F.col("reason").isNull()).drop("reason"),
             tagged.where(F.col("reason").isNotNull()))
+
+
+def table_checks(tables: dict[str, DataFrame]) -> DataFrame:
+    """Declared-constraint report for the known tables (``config.TABLE_SCHEMAS``).
+
+    One row per check: ``(table_name, check, columns, violations)`` where
+    ``not_null`` counts NULLs in a NOT NULL column and ``unique`` counts rows
+    in key groups seen more than once. One aggregate pass per table for the
+    NULL counts, one partial-aggregated shuffle per declared key.
+    """
+    parts = []
+    for name, df in tables.items():
+        schema = TABLE_SCHEMAS[name]
+        nn = [f.name for f in schema.fields if not f.nullable and f.name in df.columns]
+        if nn:
+            nulls = not_null_violations(df, nn)
+            parts.append(nulls.select(F.lit(name).alias("table_name"), F.lit("not_null").alias("check"),
+                                      F.col("column_name").alias("columns"),
+                                      F.col("null_count").cast("long").alias("violations")))
+        for keys in UNIQUE_KEYS.get(name, []):
+            if not all(k in df.columns for k in keys):
+                continue
+            dup = unique_key_violations(df, keys).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("v"))
+            parts.append(dup.select(F.lit(name).alias("table_name"), F.lit("unique").alias("check"),
+                                    F.lit(",".join(keys)).alias("columns"), F.col("v").alias("violations")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
