@@ -99,3 +99,11 @@ def test_shuffled_input_same_result(spark):
     a = wallet_history(c)
     b = wallet_history(c.repartition(7).orderBy(F.rand(3)))
     assert rows(a) == rows(b)
+
+
+def test_monotonic_by_user_split_equals_plain(spark):
+    c = X.cdc_skewed(spark, SF).select("seq", "user_id", "ts")
+    plain = monotonic_timestamps(c, "ts", ["seq"], by=["user_id"], split_hot=False)
+    split = monotonic_timestamps(c, "ts", ["seq"], by=["user_id"], fanout=8, range_partitions=4,
+                                 small_input_bytes=0)
+    assert rows(plain) == rows(split)

@@ -107,17 +107,16 @@ def monotonic_timestamps(df: DataFrame, ts: str, order: list[str], by: list[str]
     Sequential rule: ``t' = t if t > prev' else prev' + step``. Closed form
     with r = row number (1-based) in order and u = epoch seconds:
     ``t'_i = step*r_i + max_{j<=i}(u_j - step*r_j)``. Both parts are
-    associative scans, so the skew-safe keyed scan runs them (``by=None`` is
-    one global order, split by range partitions).
+    associative scans, fused into one pass of the skew-safe keyed scan
+    (``maxoff``); ``by=None`` is one global order, split by range partitions.
     """
     by = list(by or [])
     u = F.unix_micros(F.col(ts).cast("timestamp"))
     step = step_seconds * 1_000_000
-    numbered = keyed_scan(df, by, [ts, *order], {"_rn": ("count", F.lit(1))}, **scan_opts)
-    numbered = numbered.withColumn("_u", u - F.lit(step) * F.col("_rn"))
-    scanned = keyed_scan(numbered, by, [ts, *order], {"_m": ("max", F.col("_u"))}, **scan_opts)
+    scanned = keyed_scan(df, by, [ts, *order],
+                         {"_rn": ("count", F.lit(1)), "_m": ("maxoff", (u, step))}, **scan_opts)
     new_ts = F.timestamp_micros(F.col("_m") + F.lit(step) * F.col("_rn")).cast("timestamp_ntz")
-    return scanned.withColumn(ts, new_ts).drop("_rn", "_u", "_m")
+    return scanned.withColumn(ts, new_ts).drop("_rn", "_m")
 
 
 def sorted_events(cdc: DataFrame, ts: str = "ts", seq: str = "seq") -> DataFrame:

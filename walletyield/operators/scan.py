@@ -19,7 +19,9 @@ the data alone. ``keyed_scan`` splits the work in two plans that are unioned:
   totals and the rows come from the same range-partitioning run.
 
 Supported scans are associative: ``sum``, ``count``, ``max``, ``min`` and
-``last`` (last non-NULL value). ``leads`` gives the next row's value in the
+``last`` (last non-NULL value), plus ``maxoff`` = ``(expr, step)``: the
+running max of ``expr - step * row_number`` (row numbers from 1 in the key),
+whose carry-in shifts by the rows of earlier segments. ``leads`` gives the next row's value in the
 same key (``lead(x, 1)``), also across segment borders.
 
 Order columns must be ascending column names that make the order total
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 from walletyield.session import ensure_checkpoint_dir, shuffle_partitions
 
-_OPS = ("sum", "count", "max", "min", "last")
+_OPS = ("sum", "count", "max", "min", "last", "maxoff")
 
 
 def _running(op: str, e: Column) -> Column:
@@ -146,11 +148,22 @@ def keyed_scan(df: DataFrame, key: list[str], order: list[str],
     w = Window.partitionBy(*key).orderBy(*order)
     wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
+    simple = {n: v for n, v in scans.items() if v[0] != "maxoff"}
+    offset = {n: v[1] for n, v in scans.items() if v[0] == "maxoff"}
+
     def plain(frame: DataFrame) -> DataFrame:
-        return frame.select(
+        out = frame.select(
             *base_cols,
-            *[_running(op, e).over(wr).alias(n) for n, (op, e) in scans.items()],
-            *[F.lead(e).over(w).alias(n) for n, e in leads.items()])
+            *[_running(op, e).over(wr).alias(n) for n, (op, e) in simple.items()],
+            *[F.lead(e).over(w).alias(n) for n, e in leads.items()],
+            *([F.count(F.lit(1)).over(wr).alias("_rn_aux")] if offset else []))
+        if not offset:
+            return out
+        # same window spec: no second exchange or sort
+        return out.select(
+            *[c for c in out.columns if c != "_rn_aux"],
+            *[F.max(e - F.lit(step) * F.col("_rn_aux")).over(wr).alias(n)
+              for n, (e, step) in offset.items()]).select(*base_cols, *scans, *leads)
 
     if not split_hot:
         return plain(df)
@@ -183,12 +196,18 @@ def _segmented(df: DataFrame, key: list[str], order: list[str],
     ws = Window.partitionBy("_seg", *key).orderBy(*order)
     wsr = ws.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     lead_names = list(leads)
+    simple = {n: v for n, v in scans.items() if v[0] != "maxoff"}
+    offset = {n: v[1] for n, v in scans.items() if v[0] == "maxoff"}
     local = ranged.select(
         *base_cols, "_seg",
-        *[_running(op, e).over(wsr).alias(f"_l_{n}") for n, (op, e) in scans.items()],
+        *[_running(op, e).over(wsr).alias(f"_l_{n}") for n, (op, e) in simple.items()],
         *[F.lead(e).over(ws).alias(f"_l_{n}") for n, e in leads.items()],
         F.lead(F.lit(1)).over(ws).isNull().alias("_seg_last"),
+        F.count(F.lit(1)).over(wsr).alias("_lr"),
         *([F.struct(*[e.alias(n) for n, e in leads.items()]).alias("_lead_src")] if leads else []))
+    if offset:
+        local = local.select("*", *[F.max(e - F.lit(step) * F.col("_lr")).over(wsr).alias(f"_l_{n}")
+                                    for n, (e, step) in offset.items()])
     # The segment ids come from one range exchange whose bounds are sampled
     # when it runs; both consumers below (segment totals and the rows) must
     # see the same run, so the local result is written to the shared
@@ -198,22 +217,31 @@ def _segmented(df: DataFrame, key: list[str], order: list[str],
 
     ordkey = F.struct(*[F.col(o) for o in order])
     seg_aggs = [F.max_by(F.col(f"_l_{n}"), ordkey).alias(f"_t_{n}") for n in scans]
+    seg_aggs.append(F.count(F.lit(1)).alias("_tn"))
     if leads:
         seg_aggs.append(F.min_by(F.col("_lead_src"), ordkey).alias("_first"))
     segs = local.groupBy("_seg", *key).agg(*seg_aggs)
 
     wk = Window.partitionBy(*key).orderBy("_seg") if key else Window.orderBy("_seg")
     wprev = wk.rowsBetween(Window.unboundedPreceding, -1)
+    # rows in earlier segments of the key (the row-number carry)
+    segs = segs.withColumn("_oc", F.coalesce(F.sum("_tn").over(wprev), F.lit(0)))
     offs = segs.select(
-        "_seg", *key,
-        *[_carry(op, F.col(f"_t_{n}")).over(wprev).alias(f"_o_{n}") for n, (op, _) in scans.items()],
+        "_seg", *key, "_oc",
+        *[_carry(op, F.col(f"_t_{n}")).over(wprev).alias(f"_o_{n}") for n, (op, _) in simple.items()],
+        *[F.max(F.col(f"_t_{n}") - F.lit(step) * F.col("_oc")).over(wprev).alias(f"_o_{n}")
+          for n, (_, step) in offset.items()],
         *([F.lead("_first").over(wk).alias("_next_first")] if leads else []))
     # Bounded by range_partitions + number of hot keys: broadcast is safe.
     offs = F.broadcast(_renamed(offs, ["_seg", *key], "_ok_"))
     joined = local.join(offs, _null_safe_on(["_seg", *key], "_ok_"), "left")
     out_cols = [F.col(c) for c in base_cols]
-    for n, (op, _) in scans.items():
-        out_cols.append(_combine(op, F.col(f"_l_{n}"), F.col(f"_o_{n}")).alias(n))
+    for n, (op, v) in scans.items():
+        if op == "maxoff":
+            shifted = F.col(f"_l_{n}") - F.lit(v[1]) * F.col("_oc")
+            out_cols.append(F.greatest(F.col(f"_o_{n}"), shifted).alias(n))
+        else:
+            out_cols.append(_combine(op, F.col(f"_l_{n}"), F.col(f"_o_{n}")).alias(n))
     for n in lead_names:
         out_cols.append(F.when(F.col("_seg_last"), F.col("_next_first")[n])
                         .otherwise(F.col(f"_l_{n}")).alias(n))
