@@ -50,6 +50,13 @@ def canon(rows, cols):
     return sorted(out, key=lambda t: tuple("" if x is None else x for x in t))
 
 
+def spark_type_name(dt_) -> str:
+    n = dt_.simpleString()
+    return {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE",
+            "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "double": "DOUBLE",
+            "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT"}.get(n, n.upper())
+
+
 def duck(sf_dir: str):
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
@@ -88,6 +95,7 @@ def main(argv):
         try:
             res = con.sql(sql)
             dcols = res.columns
+            dtypes = [str(t) for t in res.types]
             drows = res.fetchall()
         except Exception as e:  # noqa: BLE001
             bad += 1
@@ -97,6 +105,10 @@ def main(argv):
             bad += 1
             print(f"SCHEMA {name}: spark={scols} sql={dcols}")
             continue
+        st = {f.name: spark_type_name(f.dataType) for f in sdf.schema.fields}
+        bad_types = [(c, st[c], t) for c, t in zip(dcols, dtypes) if st.get(c) != t]
+        if bad_types:
+            print(f"TYPES {name}: {bad_types}")
         a, b = canon(srows, scols), canon(drows, dcols)
         if a == b:
             print(f"OK {name}: rows={len(a)} ({ts:.1f}s)")

@@ -98,21 +98,21 @@ def q_limit_10(spark, sf):
 SELECT 'wallet_history' AS table_name, 'not_null' AS "check", 'user_id' AS columns, count(*) - count(user_id) AS violations FROM history
 UNION ALL SELECT 'wallet_history', 'not_null', 'ts', count(*) - count(ts) FROM history
 UNION ALL SELECT 'wallet_history', 'not_null', 'balance', count(*) - count(balance) FROM history
-UNION ALL SELECT 'wallet_history', 'unique', 'user_id,ts,seq', coalesce(sum(n), 0) FROM
+UNION ALL SELECT 'wallet_history', 'unique', 'user_id,ts,seq', CAST(coalesce(sum(n), 0) AS BIGINT) FROM
   (SELECT count(*) AS n FROM history WHERE user_id IS NOT NULL AND ts IS NOT NULL AND seq IS NOT NULL
    GROUP BY user_id, ts, seq HAVING count(*) > 1)
 UNION ALL SELECT 'daily_bonus_payouts', 'not_null', 'payout_date', count(*) - count(payout_date) FROM payouts_seeded
 UNION ALL SELECT 'daily_bonus_payouts', 'not_null', 'user_id', count(*) - count(user_id) FROM payouts_seeded
 UNION ALL SELECT 'daily_bonus_payouts', 'not_null', 'calculated_amount', count(*) - count(calculated_amount) FROM payouts_seeded
-UNION ALL SELECT 'daily_bonus_payouts', 'unique', 'payout_date,user_id', coalesce(sum(n), 0) FROM
+UNION ALL SELECT 'daily_bonus_payouts', 'unique', 'payout_date,user_id', CAST(coalesce(sum(n), 0) AS BIGINT) FROM
   (SELECT count(*) AS n FROM payouts_seeded WHERE payout_date IS NOT NULL AND user_id IS NOT NULL
    GROUP BY payout_date, user_id HAVING count(*) > 1)
 UNION ALL SELECT 'daily_interest_rates', 'not_null', 'rate_date', count(*) - count(rate_date) FROM rates
 UNION ALL SELECT 'daily_interest_rates', 'not_null', 'daily_rate', count(*) - count(daily_rate) FROM rates
-UNION ALL SELECT 'daily_interest_rates', 'unique', 'rate_date', coalesce(sum(n), 0) FROM
+UNION ALL SELECT 'daily_interest_rates', 'unique', 'rate_date', CAST(coalesce(sum(n), 0) AS BIGINT) FROM
   (SELECT count(*) AS n FROM rates WHERE rate_date IS NOT NULL GROUP BY rate_date HAVING count(*) > 1)
 UNION ALL SELECT 'users', 'not_null', 'user_id', count(*) - count(c_custkey) FROM customer
-UNION ALL SELECT 'users', 'unique', 'user_id', coalesce(sum(n), 0) FROM
+UNION ALL SELECT 'users', 'unique', 'user_id', CAST(coalesce(sum(n), 0) AS BIGINT) FROM
   (SELECT count(*) AS n FROM customer WHERE c_custkey IS NOT NULL GROUP BY c_custkey HAVING count(*) > 1)""")
 def q_table_checks(spark, sf):
     """Declared NOT NULL / UNIQUE constraints over the four tables."""

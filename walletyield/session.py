@@ -20,6 +20,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # remove checkpoint files of hot-key slices once their plans are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
