@@ -66,7 +66,7 @@ def test_pipeline_main_idempotent(spark, tmp_out):
     from walletyield.plans.pipeline import PipelineConfig, pipeline_main
     c = X.cdc(spark, SF)
     sinks.write_cdc_csv(c, f"{tmp_out}/raw")
-    X.annual_rates(spark).select("rate_date", F.col("annual_rate").cast("string").alias("annual_rate")) \
+    X.annual_rates(spark, SF).select("rate_date", F.col("annual_rate").cast("string").alias("annual_rate")) \
         .write.option("header", True).csv(f"{tmp_out}/rates")
     cfg = PipelineConfig(raw_cdc_path=f"{tmp_out}/raw", rates_path=f"{tmp_out}/rates",
                          out_dir=f"{tmp_out}/tables", as_of=dt.date(2100, 1, 1), run_id=1)
@@ -83,7 +83,7 @@ def test_pipeline_main_idempotent(spark, tmp_out):
     from walletyield.operators.ledger import wallet_history
     from walletyield.plans.payouts import auto_period, payouts_period
     ct = c.withColumn("ts", trunc_second("ts"))
-    want = payouts_period(wallet_history(ct, with_next=True), X.rates(spark), auto_period(ct, dt.date(2100, 1, 1)))
+    want = payouts_period(wallet_history(ct, with_next=True), X.rates(spark, SF), auto_period(ct, dt.date(2100, 1, 1)))
     assert sorted(tuple(r) for r in want.collect()) == first
 
 

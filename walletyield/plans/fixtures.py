@@ -32,7 +32,6 @@ PIPELINE_STEPS = [
 ]
 
 RATE_START = dt.date(2023, 12, 25)
-RATE_END = dt.date(2024, 1, 31)
 
 
 _TABLES: dict[tuple, DataFrame] = {}
@@ -78,17 +77,18 @@ def history(spark: SparkSession, sf_dir: str, with_next: bool = False, **scan_op
     return wallet_history(cdc(spark, sf_dir), with_next=with_next, **scan_opts)
 
 
-def annual_rates(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
-    """Weekday annual rates 2023-12-25 .. 2024-01-31 (weekends missing)."""
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(RATE_START), F.lit(RATE_END))).alias("rate_date"))
+def annual_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A published annual rate for every weekday with events (weekends are
+    missing, so the look-back is used): the series is derived from the
+    ledger's own calendar, ``11.65 + 0.05 * (days since 2023-12-25 mod 9)``."""
+    days = cdc(spark, sf_dir).select(F.to_date("ts").alias("rate_date")).distinct()
     n = F.datediff("rate_date", F.lit(RATE_START))
     return (days.where(~F.dayofweek("rate_date").isin(1, 7))
             .select("rate_date", (F.lit(11.65) + F.lit(0.05) * (n % 9).cast("double")).alias("annual_rate")))
 
 
-def rates(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
-    return annual_to_daily_rate(annual_rates(spark))
+def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annual_to_daily_rate(annual_rates(spark, sf_dir))
 
 
 def period(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +97,7 @@ def period(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def payouts(spark: SparkSession, sf_dir: str, **scan_opts) -> DataFrame:
     h = history(spark, sf_dir, with_next=True, **scan_opts)
-    return payouts_period(h, rates(spark), period(spark, sf_dir))
+    return payouts_period(h, rates(spark, sf_dir), period(spark, sf_dir))
 
 
 def payouts_seeded(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,10 +39,10 @@ SELECT seq, user_id, ts, amount_change,
 FROM cdc""")
 
 cte("annual_rates", """
-SELECT CAST(d AS DATE) AS rate_date,
-       11.65 + 0.05 * CAST((CAST(d AS DATE) - DATE '2023-12-25') % 9 AS DOUBLE) AS annual_rate
-FROM (SELECT unnest(generate_series(TIMESTAMP '2023-12-25', TIMESTAMP '2024-01-31', INTERVAL 1 DAY)) AS d)
-WHERE dayofweek(CAST(d AS DATE)) NOT IN (0, 6)""")
+SELECT d AS rate_date,
+       11.65 + 0.05 * CAST((d - DATE '2023-12-25') % 9 AS DOUBLE) AS annual_rate
+FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM cdc)
+WHERE dayofweek(d) NOT IN (0, 6)""")
 
 cte("rates", """
 SELECT rate_date,

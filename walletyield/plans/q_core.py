@@ -110,13 +110,13 @@ SELECT rate_date,
        coalesce(try_cast(annual_rate AS DECIMAL(18,8)) > -100, false) AS accepted
 FROM raw""")
 def q_reject_bad_rates(spark, sf):
-    good, bad = R.reject_bad_rates(_raw_rate_text(spark))
+    good, bad = R.reject_bad_rates(_raw_rate_text(spark, sf))
     return good.select("rate_date", F.lit(True).alias("accepted")).unionByName(
         bad.select("rate_date", F.lit(False).alias("accepted")))
 
 
-def _raw_rate_text(spark):
-    a = X.annual_rates(spark)
+def _raw_rate_text(spark, sf):
+    a = X.annual_rates(spark, sf)
     text = (F.when(F.dayofmonth("rate_date") == 5, F.lit("NaN"))
             .when(F.dayofmonth("rate_date") == 12, F.lit("abc"))
             .when(F.dayofmonth("rate_date") == 19, F.lit("-150"))
@@ -291,7 +291,7 @@ SELECT rate_date, daily_rate FROM cur WHERE rate_date NOT IN (SELECT rate_date F
 UNION ALL SELECT rate_date, daily_rate FROM incoming""")
 def q_load_rates(spark, sf):
     current = X.rates(spark, sf).select(F.date_sub("rate_date", 30).alias("rate_date"), "daily_rate")
-    table, _ = R.load_rates(_raw_rate_text(spark), L.period_bounds(X.cdc(spark, sf)), current, X.AS_OF)
+    table, _ = R.load_rates(_raw_rate_text(spark, sf), L.period_bounds(X.cdc(spark, sf)), current, X.AS_OF)
     return table
 
 

@@ -60,7 +60,7 @@ def q_scan_table(spark, sf):
 SELECT rate_date, annual_rate FROM annual_rates WHERE rate_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-20'""")
 def q_read_rate_series(spark, sf):
     d = _dir(spark, "rates")
-    X.annual_rates(spark).select("rate_date", F.col("annual_rate").cast("string").alias("annual_rate")) \
+    X.annual_rates(spark, sf).select("rate_date", F.col("annual_rate").cast("string").alias("annual_rate")) \
         .write.option("header", True).csv(d)
     r = read_rate_series(spark, "csv", d, dt.date(2024, 1, 1), dt.date(2024, 1, 20))
     return r.select("rate_date", F.col("annual_rate").cast("double").alias("annual_rate"))
@@ -87,7 +87,7 @@ def q_pipeline_main(spark, sf):
     from walletyield.plans.pipeline import PipelineConfig, pipeline_main
     d = _dir(spark, "pipe")
     S.write_cdc_csv(X.cdc(spark, sf), f"{d}/raw")
-    X.annual_rates(spark).select("rate_date", F.col("annual_rate").cast("string").alias("annual_rate")) \
+    X.annual_rates(spark, sf).select("rate_date", F.col("annual_rate").cast("string").alias("annual_rate")) \
         .write.option("header", True).csv(f"{d}/rates")
     cfg = PipelineConfig(raw_cdc_path=f"{d}/raw", rates_path=f"{d}/rates", out_dir=f"{d}/tables",
                          as_of=X.AS_OF, run_id=1)

@@ -47,7 +47,7 @@ WITH incoming AS (
 SELECT rate_date, daily_rate FROM rates WHERE rate_date NOT IN (SELECT rate_date FROM incoming)
 UNION ALL SELECT rate_date, daily_rate FROM incoming""")
 def q_upsert_rates(spark, sf):
-    a = X.annual_rates(spark).where(F.col("rate_date") >= F.lit(dt.date(2024, 1, 15)))
+    a = X.annual_rates(spark, sf).where(F.col("rate_date") >= F.lit(dt.date(2024, 1, 15)))
     incoming = annual_to_daily_rate(a.select(F.date_add("rate_date", 7).alias("rate_date"),
                                              (F.col("annual_rate") + F.lit(0.5)).alias("annual_rate")))
     from walletyield.operators.rates import upsert_rates
