@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from walletyield.config import MONEY
 from walletyield.functions import before_day_start, parse_cdc_ts, trunc_second
+from walletyield.operators.common import with_scalars
 from walletyield.operators.scan import keyed_scan
 
 
@@ -91,7 +92,7 @@ def validity_days(history: DataFrame, period: DataFrame, key: str = "user_id",
     clipped to the period. ``history`` must carry ``nxt``.
     """
     p = period.select(F.col("start_date").alias("_lo"), F.col("end_date").alias("_hi"))
-    h = history.crossJoin(F.broadcast(p))
+    h = with_scalars(history, p)
     first = F.greatest(F.date_add(F.to_date(ts), 1), F.col("_lo"))
     last = F.least(F.coalesce(F.to_date("nxt"), F.col("_hi")), F.col("_hi"))
     return (h.withColumn("_f", first).withColumn("_t", last)

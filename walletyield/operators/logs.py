@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from walletyield.operators.common import with_scalars
+
 # fixed values: log line layout "yyyy-MM-dd HH:mm:ss,SSS [LEVEL] module: message"
 LOG_PATTERN = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3}) \[(\w+)\] ([\w.]+): (.*)"
 LOG_TS_FORMAT = "yyyy-MM-dd HH:mm:ss,SSS"
@@ -106,7 +108,7 @@ def step_timings(parsed: DataFrame, steps: DataFrame) -> DataFrame:
     first = step_first_seen(parsed, steps)
     newest = parsed.agg(F.max("datetime").alias("_newest"))
     w = Window.orderBy("step_no")  # one row per found step
-    out = first.crossJoin(F.broadcast(newest)).withColumn(
+    out = with_scalars(first, newest).withColumn(
         "end_time", F.coalesce(F.lead("start_time").over(w), F.col("_newest")))
     secs = (F.unix_micros(F.col("end_time").cast("timestamp")) -
             F.unix_micros(F.col("start_time").cast("timestamp"))) / F.lit(1e6)

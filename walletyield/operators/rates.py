@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from walletyield.config import DEFAULT, Thresholds
 from walletyield.functions import annual_to_daily_rate as _daily_expr
 from walletyield.functions import valid_annual_rate
+from walletyield.operators.common import with_scalars
 
 
 def annual_to_daily_rate(annual: DataFrame, rate_col: str = "annual_rate") -> DataFrame:
@@ -71,7 +72,7 @@ def load_rates(raw: DataFrame, bounds: DataFrame, current: DataFrame, as_of: dt.
                rate_col: str = "annual_rate") -> tuple[DataFrame, DataFrame]:
     """Range -> reject -> convert -> upsert. Returns ``(rates_table, rejected)``."""
     rng = clamp_rate_range(bounds, as_of)
-    in_range = raw.crossJoin(F.broadcast(rng)) \
+    in_range = with_scalars(raw, rng) \
         .where(F.col("rate_date").between(F.col("start_date"), F.col("end_date"))) \
         .drop("start_date", "end_date")
     good, bad = reject_bad_rates(in_range, rate_col)

@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from walletyield.session import ensure_checkpoint_dir, shuffle_partitions
+from walletyield.operators.common import with_scalars
 
 _OPS = ("sum", "count", "max", "min", "last", "maxoff")
 
@@ -116,7 +117,7 @@ def hot_keys(df: DataFrame, key: list[str], fanout: int) -> DataFrame:
     """
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_total"))
-    return (counts.crossJoin(total)
+    return (with_scalars(counts, total)
             .where(F.col("_n") * F.lit(fanout) > F.col("_total"))
             .select(*key))
 

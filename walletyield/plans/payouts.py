@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from walletyield.config import DEFAULT, MONEY, Thresholds
 from walletyield.functions import bonus_amount, first_hold_day, hold_satisfied
+from walletyield.operators.common import with_scalars
 from walletyield.operators.ledger import latest_snapshot, period_bounds
 from walletyield.operators.rates import rate_asof
 
@@ -79,8 +80,7 @@ def eligible_days(history: DataFrame, period: DataFrame, cfg: Thresholds = DEFAU
     p = period.select(F.col("start_date").alias("_lo"), F.col("end_date").alias("_hi"))
     first = F.greatest(F.col("_lo"), F.date_add(F.to_date("ts"), 1), first_hold_day("ts", cfg.hold_hours))
     last = F.least(F.col("_hi"), F.coalesce(F.to_date("nxt"), F.col("_hi")))
-    spans = (history.where(F.col("balance") > F.lit(cfg.min_balance))
-             .crossJoin(F.broadcast(p))
+    spans = (with_scalars(history.where(F.col("balance") > F.lit(cfg.min_balance)), p)
              .select("user_id", "balance", "ts", first.alias("_f"), last.alias("_t"))
              .where(F.col("_f") <= F.col("_t")))
     return spans.select(F.explode(F.sequence("_f", "_t")).alias("payout_date"), "user_id",
@@ -122,9 +122,8 @@ def run_audit(history: DataFrame, rates: DataFrame, payouts: DataFrame, period:
         F.count_distinct("user_id").alias("eligible_users"),
         F.count(F.lit(1)).alias("payout_records"),
         F.sum("calculated_amount").cast(MONEY).alias("total_amount"))
-    a = (days.join(F.broadcast(rate), "payout_date", "left")
-         .crossJoin(F.broadcast(first_move))
-         .join(F.broadcast(counts), "payout_date", "left"))
+    a = with_scalars(days.join(F.broadcast(rate), "payout_date", "left"), first_move) \
+        .join(F.broadcast(counts), "payout_date", "left")
     status = (F.when(F.col("daily_rate").isNull(), F.lit("NO_RATE"))
               .when(F.col("_first_ts").isNull() |
                     (F.col("_first_ts") >= F.col("payout_date").cast("timestamp_ntz")), F.lit("NO_HISTORY"))
@@ -150,8 +149,7 @@ def publishable_days(history: DataFrame, rates: DataFrame, period: DataFrame,
     days = calendar(period)
     rate = rate_asof(days, rates, cfg).select("payout_date")
     first_move = history.agg(F.min("ts").alias("_first_ts"))
-    return (days.join(F.broadcast(rate), "payout_date")
-            .crossJoin(F.broadcast(first_move))
+    return (with_scalars(days.join(F.broadcast(rate), "payout_date"), first_move)
             .where(F.col("_first_ts") < F.col("payout_date").cast("timestamp_ntz"))
             .select("payout_date"))
 

@@ -11,6 +11,7 @@ from walletyield.functions import bonus_amount, hold_satisfied, iso_seconds
 from walletyield.operators import ledger as L
 from walletyield.operators import rates as R
 from walletyield.operators.asof import asof_join
+from walletyield.operators.common import with_scalars
 from walletyield.plans import fixtures as X
 from walletyield.plans import payouts as P
 from walletyield.plans.catalog import register
@@ -190,7 +191,7 @@ FROM snapshots WHERE payout_date = DATE '2024-01-15'""")
 def q_attach_constant_rate(spark, sf):
     rate = R.rate_asof(P.calendar_range(spark, DAY, DAY), X.rates(spark, sf))
     snap = L.latest_snapshot(X.history(spark, sf), DAY)
-    return snap.crossJoin(F.broadcast(rate.select(F.col("daily_rate").alias("current_daily_rate")))) \
+    return with_scalars(snap, rate.select(F.col("daily_rate").alias("current_daily_rate"))) \
         .select("user_id", "balance_at_start_of_day", "current_daily_rate")
 
 
