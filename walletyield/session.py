@@ -51,6 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return path
     if sc.getCheckpointDir() and _LOCAL_DIR:
         return _LOCAL_DIR
+    if not sc.master.startswith("local"):
+        # on a cluster a driver-local folder is invisible to the executors
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
     _LOCAL_DIR = tempfile.mkdtemp(prefix="wy-ckpt-")
     sc.setCheckpointDir(_LOCAL_DIR)
     return _LOCAL_DIR
