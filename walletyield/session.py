@@ -44,22 +44,18 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
-    global _LOCAL_DIR
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if path:
         return path
-    if sc.getCheckpointDir() and _LOCAL_DIR:
-        return _LOCAL_DIR
+    existing = sc.getCheckpointDir()
+    if existing:
+        return existing
     if not sc.master.startswith("local"):
         # on a cluster a driver-local folder is invisible to the executors
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
-    _LOCAL_DIR = tempfile.mkdtemp(prefix="wy-ckpt-")
-    sc.setCheckpointDir(_LOCAL_DIR)
-    return _LOCAL_DIR
-
-
-_LOCAL_DIR: str | None = None
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="wy-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
