@@ -119,14 +119,27 @@ def write_in_time_slices(df: DataFrame, path: str, slices: int = 4, ts: str = "t
 
 
 def run_available_now(df: DataFrame, checkpoint: str, sink_path: str | None = None,
-                      foreach_batch=None, output_mode: str = "append") -> None:
-    """Drive a stream over all available input, then stop (bounded test runs)."""
+                      foreach_batch=None, output_mode: str = "append",
+                      state_partitions: int | None = None) -> None:
+    """Drive a stream over all available input, then stop (bounded runs).
+
+    ``state_partitions`` sizes the state store of a new query (it is fixed
+    in the checkpoint at the first batch); the session value is restored
+    once the query has started with its own copy of the settings.
+    """
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True)
-    if foreach_batch is not None:
-        q = w.foreachBatch(foreach_batch).start()
-    else:
-        q = w.format("parquet").option("path", sink_path).start()
+    conf = df.sparkSession.conf
+    old = conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        if foreach_batch is not None:
+            q = w.foreachBatch(foreach_batch).start()
+        else:
+            q = w.format("parquet").option("path", sink_path).start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", old)
     q.awaitTermination()
 
 

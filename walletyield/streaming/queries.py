@@ -33,7 +33,8 @@ def q_stream_cdc_dedup(spark, sf):
     base = _run_dir(spark, "dedup")
     src = _write_input(spark, sf, base, with_replays=True)
     stream = S.stream_cdc_dedup(S.read_cdc_stream(spark, src), watermark="2 days")
-    S.run_available_now(stream, f"{base}/ckpt", sink_path=f"{base}/out")
+    S.run_available_now(stream, f"{base}/ckpt", sink_path=f"{base}/out",
+                        state_partitions=spark.sparkContext.defaultParallelism)
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
@@ -47,7 +48,8 @@ def q_stream_daily_movements(spark, sf):
     agg = S.stream_daily_movements(S.read_cdc_stream(spark, src, max_files_per_trigger=8), watermark="2 days")
     table = f"{base}/table"
     S.run_available_now(agg, f"{base}/ckpt", output_mode="update",
-                        foreach_batch=lambda df, i: S.window_upsert_batch(df, i, table))
+                        foreach_batch=lambda df, i: S.window_upsert_batch(df, i, table),
+                        state_partitions=spark.sparkContext.defaultParallelism)
     return S.latest(spark, table)
 
 
