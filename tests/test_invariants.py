@@ -107,3 +107,16 @@ def test_monotonic_by_user_split_equals_plain(spark):
     split = monotonic_timestamps(c, "ts", ["seq"], by=["user_id"], fanout=8, range_partitions=4,
                                  small_input_bytes=0)
     assert rows(plain) == rows(split)
+
+
+def test_payouts_since_equals_full_period(spark):
+    import datetime as dt
+
+    from walletyield.plans.payouts import one_row_period, payouts_period, payouts_since
+    h = X.history(spark, SF, with_next=True)
+    rates = X.rates(spark, SF)
+    for lo, hi in [(dt.date(2024, 1, 2), dt.date(2024, 1, 30)), (dt.date(2024, 1, 17), dt.date(2024, 1, 17)),
+                   (dt.date(2023, 12, 1), dt.date(2024, 1, 5))]:
+        full = payouts_period(h, rates, one_row_period(spark, lo, hi))
+        part = payouts_since(h.drop("nxt"), rates, lo, hi)
+        assert rows(full) == rows(part), (lo, hi)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from walletyield.config import DEFAULT, MONEY, Thresholds
 from walletyield.functions import bonus_amount, first_hold_day, hold_satisfied
 from walletyield.operators.common import with_scalars
+from walletyield.operators.scan import keyed_scan
 from walletyield.operators.ledger import latest_snapshot, period_bounds
 from walletyield.operators.rates import rate_asof
 
@@ -107,6 +108,33 @@ def payouts_period(history: DataFrame, rates: DataFrame, period: DataFrame,
         bonus_amount("balance_at_start_of_day", "daily_rate").alias("calculated_amount"))
 
 
+def payouts_since(history: DataFrame, rates: DataFrame, start: dt.date, end: dt.date,
+                  cfg: Thresholds = DEFAULT) -> DataFrame:
+    """Payouts of a (recent) period from a stored balance history, without
+    rescanning its whole past: the rows inside the period (a literal
+    ``ts >=`` filter, pushed to the parquet scan) plus, per user, the last
+    row before it (an aggregate with map-side partial aggregation over four
+    columns). Equals :func:`payouts_period` over the full history for the
+    same period.
+
+    ``history`` is a published ``wallet_history`` (``seq, user_id, ts,
+    balance``); a daily run then sorts one period of movements and one
+    snapshot row per user instead of re-sorting the whole ledger.
+    """
+    if start > end:
+        raise ValueError("The start date cannot be after the end date.")
+    lo = F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz")
+    h = history.select("seq", "user_id", "ts", "balance")
+    inside = h.where(F.col("ts") >= lo)
+    before = (h.where(F.col("ts") < lo)
+              .groupBy("user_id")
+              .agg(F.max(F.struct("ts", "seq", "balance")).alias("_s"))
+              .select(F.col("_s.seq").alias("seq"), "user_id", F.col("_s.ts").alias("ts"),
+                      F.col("_s.balance").alias("balance")))
+    relevant = keyed_scan(before.unionByName(inside), ["user_id"], ["ts", "seq"], {}, {"nxt": F.col("ts")})
+    return payouts_period(relevant, rates, one_row_period(history.sparkSession, start, end), cfg)
+
+
 def run_audit(history: DataFrame, rates: DataFrame, payouts: DataFrame, period: DataFrame,
               cfg: Thresholds = DEFAULT) -> DataFrame:
     """Per day: status, rate used and its source date, eligible users, records.

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
+from walletyield.config import WALLET_HISTORY
+from walletyield.session import scratch_path
+
 from walletyield.operators import sinks as S
 from walletyield.operators.rates import annual_to_daily_rate
 from walletyield.plans import fixtures as X
@@ -73,3 +77,14 @@ SELECT row_number() OVER (ORDER BY payout_date, user_id) AS payout_id, payout_da
 FROM payouts""")
 def q_assign_surrogate_key(spark, sf):
     return S.assign_surrogate_key(X.payouts(spark, sf), ["payout_date", "user_id"], 1, "payout_id")
+
+
+@register("payouts_since", """
+SELECT payout_date, user_id, calculated_amount FROM payouts
+WHERE payout_date BETWEEN DATE '2024-01-20' AND DATE '2024-01-30'""")
+def q_payouts_since(spark, sf):
+    """A daily-style run over a stored history: only the recent rows plus one
+    snapshot row per user are read."""
+    d = scratch_path(spark, f"since-{uuid.uuid4().hex[:8]}")
+    S.write_table(X.history(spark, sf), d, WALLET_HISTORY, cluster_by=["user_id", "ts", "seq"])
+    return P.payouts_since(spark.read.parquet(d), X.rates(spark, sf), dt.date(2024, 1, 20), dt.date(2024, 1, 30))
