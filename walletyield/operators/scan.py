@@ -32,6 +32,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -214,7 +215,11 @@ def _segmented(df: DataFrame, key: list[str], order: list[str],
     # see the same run, so the local result is written to the shared
     # checkpoint folder (reliable: survives executor loss, cuts lineage).
     ensure_checkpoint_dir(df.sparkSession)
-    local = local.checkpoint(eager=True)
+    # persisted first, so the checkpoint write doesn't recompute the slices
+    local = local.persist(StorageLevel.MEMORY_AND_DISK)
+    saved = local.checkpoint(eager=True)
+    local.unpersist()
+    local = saved
 
     ordkey = F.struct(*[F.col(o) for o in order])
     seg_aggs = [F.max_by(F.col(f"_l_{n}"), ordkey).alias(f"_t_{n}") for n in scans]
