@@ -25,7 +25,9 @@ whose carry-in shifts by the rows of earlier segments. ``leads`` gives the next
 same key (``lead(x, 1)``), also across segment borders.
 
 Order columns must be ascending column names that make the order total
-within a key (add a sequence column as the last tie-breaker).
+within a key (add a sequence column as the last tie-breaker). The input must
+be deterministic (it is read once per branch), as any table or pure
+projection of one is.
 """
 
 from __future__ import annotations
