@@ -81,7 +81,9 @@ def eligible_days(history: DataFrame, period: DataFrame, cfg: Thresholds = DEFAU
     p = period.select(F.col("start_date").alias("_lo"), F.col("end_date").alias("_hi"))
     first = F.greatest(F.col("_lo"), F.date_add(F.to_date("ts"), 1), first_hold_day("ts", cfg.hold_hours))
     last = F.least(F.col("_hi"), F.coalesce(F.to_date("nxt"), F.col("_hi")))
-    spans = (with_scalars(history.where(F.col("balance") > F.lit(cfg.min_balance)), p)
+    # (a NULL time can't be placed: such rows are not a snapshot of any day)
+    held = history.where((F.col("balance") > F.lit(cfg.min_balance)) & F.col("ts").isNotNull())
+    spans = (with_scalars(held, p)
              .select("user_id", "balance", "ts", first.alias("_f"), last.alias("_t"))
              .where(F.col("_f") <= F.col("_t")))
     return spans.select(F.explode(F.sequence("_f", "_t")).alias("payout_date"), "user_id",
