@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row frame (a global aggregate, a period, a
-    literal row) to every row of ``df``.
+    """Attach the columns of a one-row frame to every row of ``df``.
 
-    The right side is cut to one row, so this is a broadcast of a single row
-    evaluated map-side, never a pairing of two tables.
+    ``one_row`` is one row by construction: an aggregate without grouping
+    keys (period bounds, totals, the newest entry) or a literal row built on
+    ``spark.range(1)``. Its broadcast is a single row evaluated map-side,
+    never a pairing of two tables.
     """
-    return df.crossJoin(F.broadcast(one_row.limit(1)))
+    return df.crossJoin(F.broadcast(one_row))
