@@ -111,3 +111,18 @@ def test_oracle_sf0001_sample(spark):
         sdf = q[name](spark, SF)
         res = con.sql(s[name])
         assert canon([tuple(r) for r in sdf.collect()], sdf.columns) == canon(res.fetchall(), res.columns), name
+
+
+def test_day_partitioned_payouts_prune(spark, tmp_out):
+    import contextlib
+    import io
+
+    from walletyield.operators.metrics import payouts_between
+    sinks.write_table(X.payouts(spark, SF), f"{tmp_out}/p", DAILY_PAYOUTS, partition_by=["payout_date"])
+    df = payouts_between(spark.read.parquet(f"{tmp_out}/p"), dt.date(2024, 1, 10), dt.date(2024, 1, 12))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    assert "PartitionFilters: [isnotnull(payout_date" in buf.getvalue()
+    assert df.count() == X.payouts(spark, SF).where(
+        F.col("payout_date").between(dt.date(2024, 1, 10), dt.date(2024, 1, 12))).count()

@@ -54,3 +54,11 @@ def user_payout_history(payouts: DataFrame, user_id: int, lo=None, hi=None) -> D
     if hi is not None:
         out = out.where(F.col("payout_date") <= F.lit(hi).cast("date"))
     return out.orderBy(F.col("payout_date").desc())
+
+
+def payouts_between(payouts: DataFrame, lo, hi) -> DataFrame:
+    """Payouts of every user in ``[lo, hi]`` (inclusive), newest first; the
+    date predicate reaches a payouts table partitioned by day as partition
+    pruning."""
+    return (payouts.where(F.col("payout_date").between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
+            .orderBy(F.col("payout_date").desc(), "user_id"))

@@ -92,3 +92,14 @@ def q_sql_query(spark, sf):
         SELECT payout_date, CAST(SUM(calculated_amount) AS DECIMAL(18,2)) AS total_payout
         FROM daily_bonus_payouts WHERE payout_date >= :lo GROUP BY payout_date""",
                      {"lo": "1900-01-01"})
+
+
+@register("payouts_by_date", """
+SELECT payout_date, user_id, calculated_amount FROM payouts
+WHERE payout_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' ORDER BY payout_date DESC""")
+def q_payouts_by_date(spark, sf):
+    """Consumers filter the payouts by date as well as by user."""
+    import datetime as dt
+
+    from walletyield.operators.metrics import payouts_between
+    return payouts_between(X.payouts(spark, sf), dt.date(2024, 1, 10), dt.date(2024, 1, 12))
