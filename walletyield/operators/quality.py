@@ -40,8 +40,12 @@ def not_null_violations(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def fk_orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
-    """Child rows whose key is missing in the parent (NULL keys are not orphans)."""
-    pk = parent.select(F.col(parent_key or key).alias(key)).distinct()
+    """Child rows whose key is missing in the parent (NULL keys are not orphans).
+
+    An anti join only tests existence, so the parent keys need no distinct;
+    AQE splits a skewed child key across tasks (left side of an anti join).
+    """
+    pk = parent.select(F.col(parent_key or key).alias(key))
     return child.where(F.col(key).isNotNull()).join(pk, key, "left_anti")
 
 
