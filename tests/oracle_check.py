@@ -70,7 +70,13 @@ def main(argv):
     only = [a for a in argv[1:] if not a.startswith("/")]
     import __spark_entry__ as E
     from walletyield.session import get_session
-    spark = get_session("local[8]")
+    if os.environ.get("WY_DEFAULT_SESSION"):
+        # a plain session, as a driver might build it (200 shuffle partitions, no extra conf)
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false") \
+            .config("spark.ui.showConsoleProgress", "false").getOrCreate()
+    else:
+        spark = get_session("local[8]")
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0
