@@ -8,7 +8,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from helpers import F, cdc_frame, period_frame, rates_frame
+from helpers import cdc_frame, period_frame, rates_frame
 
 from walletyield.operators.ledger import wallet_history
 from walletyield.operators.rates import reject_bad_rates

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from walletyield.config import MONEY
-from walletyield.functions import bonus_amount, hold_satisfied, iso_seconds
+from walletyield.functions import bonus_amount, iso_seconds
 from walletyield.operators import ledger as L
 from walletyield.operators import rates as R
 from walletyield.operators.asof import asof_join

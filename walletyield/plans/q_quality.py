@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from walletyield.operators import quality as Q
-from walletyield.operators.ledger import parse_cdc
 from walletyield.plans import fixtures as X
 from walletyield.plans.catalog import register
 
