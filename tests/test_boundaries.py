@@ -25,6 +25,9 @@ def paid(spark, rows, rates=RATE, day=DAY):
     rt = rates_frame(spark, rates)
     per_day = {(r.user_id, r.calculated_amount) for r in payouts_day(wallet_history(cdc), rt, day).collect()}
     h = wallet_history(cdc, with_next=True)
+    # the snapshot as a filter on the validity interval (history with ``nxt``)
+    per_day_filter = {(r.user_id, r.calculated_amount) for r in payouts_day(h, rt, day).collect()}
+    assert per_day == per_day_filter
     per = {(r.user_id, r.calculated_amount)
            for r in payouts_period(h, rt, period_frame(spark, str(day), str(day))).collect()}
     assert per_day == per

@@ -57,10 +57,18 @@ def latest_snapshot(history: DataFrame, day, key: str = "user_id", ts: str = "ts
                     seq: str = "seq") -> DataFrame:
     """Newest history row per user strictly before ``day`` midnight.
 
-    A max over a struct is an aggregate with map-side partial aggregation, so
-    a hot user is reduced before the shuffle (unlike row_number over a window).
+    With ``nxt`` (the next movement, see ``wallet_history(with_next=True)``)
+    this is a narrow filter, ``ts < d <= nxt``: no shuffle at all. Without it,
+    a max over a struct per user, an aggregate with map-side partial
+    aggregation, so a hot user is reduced before the shuffle.
     """
     d = F.lit(day).cast("date") if not hasattr(day, "alias") else day
+    if "nxt" in history.columns:
+        start = d.cast("timestamp_ntz")
+        valid = history.where(before_day_start(ts, d) &
+                              (F.col("nxt").isNull() | (F.col("nxt") >= start)))
+        return valid.select(key, F.col("balance").alias("balance_at_start_of_day"),
+                            F.col(ts).alias("last_movement_timestamp"))
     newest = (history.where(before_day_start(ts, d))
               .groupBy(key)
               .agg(F.max(F.struct(F.col(ts), F.col(seq), F.col("balance"))).alias("_s")))

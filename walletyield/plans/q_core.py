@@ -157,7 +157,7 @@ SELECT user_id, balance AS balance_at_start_of_day, ts AS last_movement_timestam
   SELECT user_id, balance, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, seq DESC) AS rn
   FROM history WHERE ts < TIMESTAMP '2024-01-15 00:00:00') WHERE rn = 1""")
 def q_latest_snapshot(spark, sf):
-    return L.latest_snapshot(X.history(spark, sf), DAY)
+    return L.latest_snapshot(X.history(spark, sf, with_next=True), DAY)
 
 
 @register("eligible_filter", """
@@ -182,7 +182,7 @@ def q_bonus_amount(spark, sf):
 @register("payouts_day", """
 SELECT payout_date, user_id, calculated_amount FROM payouts WHERE payout_date = DATE '2024-01-15'""")
 def q_payouts_day(spark, sf):
-    return P.payouts_day(X.history(spark, sf), X.rates(spark, sf), DAY)
+    return P.payouts_day(X.history(spark, sf, with_next=True), X.rates(spark, sf), DAY)
 
 
 @register("attach_constant_rate", """
@@ -190,7 +190,7 @@ SELECT user_id, balance_at_start_of_day, (SELECT daily_rate FROM rate_asof WHERE
 FROM snapshots WHERE payout_date = DATE '2024-01-15'""")
 def q_attach_constant_rate(spark, sf):
     rate = R.rate_asof(P.calendar_range(spark, DAY, DAY), X.rates(spark, sf))
-    snap = L.latest_snapshot(X.history(spark, sf), DAY)
+    snap = L.latest_snapshot(X.history(spark, sf, with_next=True), DAY)
     return with_scalars(snap, rate.select(F.col("daily_rate").alias("current_daily_rate"))) \
         .select("user_id", "balance_at_start_of_day", "current_daily_rate")
 
