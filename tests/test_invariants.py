@@ -120,3 +120,18 @@ def test_payouts_since_equals_full_period(spark):
         full = payouts_period(h, rates, one_row_period(spark, lo, hi))
         part = payouts_since(h.drop("nxt"), rates, lo, hi)
         assert rows(full) == rows(part), (lo, hi)
+
+
+def test_extend_history_equals_full_and_flags_late(spark):
+    import datetime as dt
+
+    from walletyield.operators.ledger import extend_history, ledger_state
+    c = X.cdc_skewed(spark, SF)
+    cut = F.lit(dt.datetime(2024, 1, 12)).cast("timestamp_ntz")
+    full = wallet_history(c)
+    state = ledger_state(wallet_history(c.where(F.col("ts") < cut)))
+    late_row = c.where(F.col("ts") < cut).limit(1).withColumn("seq", F.lit(-1).cast("long"))
+    inc = c.where(F.col("ts") >= cut).unionByName(late_row)
+    hist, late = extend_history(state, inc, fanout=8, range_partitions=3, small_input_bytes=0)
+    assert rows(hist) == rows(full.where(F.col("ts") >= cut))
+    assert late.count() == 1

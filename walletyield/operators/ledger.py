@@ -53,6 +53,42 @@ def wallet_history(cdc: DataFrame, key: str = "user_id", ts: str = "ts",
     return out.withColumn("balance", F.col("balance").cast(MONEY))
 
 
+def ledger_state(history: DataFrame, key: str = "user_id", ts: str = "ts",
+                 seq: str = "seq") -> DataFrame:
+    """Newest ``(seq, ts, balance)`` per user: the carry-in for the next increment.
+
+    One row per user; a max over a struct with map-side partial aggregation.
+    """
+    return (history.groupBy(key)
+            .agg(F.max(F.struct(F.col(ts), F.col(seq), F.col("balance"))).alias("_s"))
+            .select(F.col(f"_s.{seq}").alias(seq), key, F.col(f"_s.{ts}").alias(ts),
+                    F.col("_s.balance").alias("balance")))
+
+
+def extend_history(state: DataFrame, increment: DataFrame, key: str = "user_id", ts: str = "ts",
+                   seq: str = "seq", amount: str = "amount_change", **scan_opts) -> tuple[DataFrame, DataFrame]:
+    """Balances for new movements only, from the per-user state of the last run.
+
+    Returns ``(history_rows, late)``. Each new row's balance is the prior
+    balance plus the running sum of the new rows: the prior balance rides
+    along as a column from one join with the state, so the increment is
+    shuffled once (by user) and the old history is not read at all. Rows not
+    after the user's stored newest movement can't be placed without
+    rewriting published history; they are returned as ``late``.
+    """
+    st = state.select(key, F.col("balance").alias("_pb"), F.col(ts).alias("_pts"), F.col(seq).alias("_pseq"))
+    j = increment.join(st, key, "left")
+    late = (F.col("_pts").isNotNull() &
+            ((F.col(ts) < F.col("_pts")) | ((F.col(ts) == F.col("_pts")) & (F.col(seq) <= F.col("_pseq")))))
+    cols = increment.columns
+    ok = j.where(~late).select(*cols, "_pb")
+    hist = wallet_history(ok, key=key, ts=ts, amount=amount, seq=seq, **scan_opts)
+    carried = F.when(F.col("_pb").isNull(), F.col("balance")).otherwise(
+        F.coalesce(F.col("balance"), F.lit(0)) + F.col("_pb"))
+    hist = hist.withColumn("balance", carried.cast(MONEY)).drop("_pb")
+    return hist, j.where(late).select(*cols)
+
+
 def latest_snapshot(history: DataFrame, day, key: str = "user_id", ts: str = "ts",
                     seq: str = "seq") -> DataFrame:
     """Newest history row per user strictly before ``day`` midnight.
@@ -134,7 +170,7 @@ def sorted_events(cdc: DataFrame, ts: str = "ts", seq: str = "seq") -> DataFrame
 
 
 __all__ = [
-    "parse_cdc", "default_null_ts", "wallet_history", "latest_snapshot",
+    "parse_cdc", "default_null_ts", "wallet_history", "ledger_state", "extend_history", "latest_snapshot",
     "validity_intervals", "period_bounds", "validity_days", "monotonic_timestamps",
     "sorted_events", "trunc_second",
 ]

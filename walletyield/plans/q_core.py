@@ -321,3 +321,15 @@ def q_payouts_period_skewed(spark, sf):
     c = X.cdc_skewed(spark, sf)
     h = L.wallet_history(c, with_next=True, **SKEW)
     return P.payouts_period(h, X.rates(spark, sf), P.auto_period(c, X.AS_OF))
+
+
+@register("extend_history", """
+SELECT seq, user_id, ts, amount_change, balance FROM history WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'""")
+def q_extend_history(spark, sf):
+    """Incremental balances: the state after the first half of the ledger
+    plus the second half's movements gives the second half's history."""
+    c = X.cdc(spark, sf)
+    cut = F.lit(DAY).cast("timestamp_ntz")
+    state = L.ledger_state(L.wallet_history(c.where(F.col("ts") < cut)))
+    hist, _late = L.extend_history(state, c.where(F.col("ts") >= cut))
+    return hist.select("seq", "user_id", "ts", "amount_change", "balance")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from walletyield.config import CDC, MONEY
-from walletyield.operators.ledger import wallet_history
+from walletyield.operators.ledger import extend_history, ledger_state, wallet_history
 
 
 def read_cdc_stream(spark: SparkSession, path: str, glob: str | None = None,
@@ -73,35 +73,25 @@ def balance_upsert_batch(batch: DataFrame, batch_id: int, state_path: str, out_p
                          late_path: str) -> None:
     """Extend the running balances with one micro-batch (foreachBatch body).
 
-    Rows older than a user's stored newest movement cannot be placed without
-    rewriting published history; they go to ``late_path`` instead.
+    Uses the batch operator :func:`extend_history` against the newest state
+    version; rows older than a user's stored newest movement go to
+    ``late_path``. Every output is written under the batch id, so a replayed
+    batch overwrites its own files.
     """
     spark = batch.sparkSession
     prev = _latest_version(state_path, spark)
     inc = batch.select("seq", "user_id", "ts", "amount_change")
     if prev:
-        prior = spark.read.parquet(prev).select(
-            "user_id", F.col("balance").alias("_pb"), F.col("ts").alias("_pts"), F.col("seq").alias("_pseq"))
-        j = inc.join(prior, "user_id", "left")
-        late = (F.col("_pts").isNotNull() &
-                ((F.col("ts") < F.col("_pts")) | ((F.col("ts") == F.col("_pts")) & (F.col("seq") <= F.col("_pseq")))))
-        j.where(late).select(*inc.columns).write.mode("overwrite").parquet(f"{late_path}/batch={batch_id}")
-        ok = j.where(~late | late.isNull())
-        carry = ok.select("user_id", "_pb").distinct()
-        hist = wallet_history(ok.select(*inc.columns))
-        hist = hist.join(carry, "user_id", "left").withColumn(
-            "balance", (F.col("balance") + F.coalesce(F.col("_pb"), F.lit(0))).cast(MONEY)).drop("_pb")
+        prior = spark.read.parquet(prev)
+        hist, late = extend_history(prior, inc)
+        late.write.mode("overwrite").parquet(f"{late_path}/batch={batch_id}")
     else:
         prior = None
         hist = wallet_history(inc)
     hist.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
-    published = spark.read.parquet(f"{out_path}/batch={batch_id}")
-    newest = (published.groupBy("user_id")
-              .agg(F.max(F.struct("ts", "seq", "balance")).alias("_s"))
-              .select("user_id", "_s.balance", "_s.ts", "_s.seq"))
+    newest = ledger_state(spark.read.parquet(f"{out_path}/batch={batch_id}"))
     if prior is not None:
-        old = spark.read.parquet(prev)
-        newest = old.join(newest.select("user_id"), "user_id", "left_anti").unionByName(newest)
+        newest = prior.join(newest.select("user_id"), "user_id", "left_anti").unionByName(newest)
     newest.write.mode("overwrite").parquet(f"{state_path}/v={batch_id}")
 
 
