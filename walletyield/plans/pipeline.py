@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 from walletyield.config import (DAILY_PAYOUTS, DAILY_RATES, DEFAULT, USERS, WALLET_HISTORY,
                                 Thresholds)
 from walletyield.operators import sinks
-from walletyield.operators.ledger import parse_cdc, period_bounds, validity_intervals, wallet_history
+from walletyield.operators.ledger import (extend_history, ledger_state, parse_cdc, period_bounds,
+                                         validity_intervals, wallet_history)
 from walletyield.operators.rates import load_rates
-from walletyield.plans.payouts import payouts_period, publishable_days, resolve_period, run_audit
+from walletyield.plans.payouts import (one_row_period, payouts_period, payouts_since, publishable_days,
+                                      resolve_period, run_audit)
 from walletyield.sources import read_cdc_csv, read_rate_series, user_ids_range
 
 
@@ -68,17 +70,22 @@ def publish(df: DataFrame, path: str, run_id: int, schema, partition_by=None, cl
     return out
 
 
-def build_history(spark: SparkSession, raw_path: str, as_of: dt.date) -> tuple[DataFrame, DataFrame]:
-    """CSV -> parsed CDC -> running balances. Returns ``(history, quarantine)``."""
+def read_cdc(spark: SparkSession, raw_path: str, as_of: dt.date) -> tuple[DataFrame, DataFrame]:
+    """CSV -> typed, parsed CDC ``(seq, user_id, ts, amount_change)`` and a quarantine."""
     valid, corrupt = read_cdc_csv(spark, raw_path)
     # deterministic tie-breaker for rows at one instant (identical rows tie harmlessly)
     raw = valid.withColumnRenamed("timestamp", "ts").withColumn(
         "seq", F.xxhash64("user_id", "ts", "amount_change"))
     cdc, bad_ts = parse_cdc(raw, dt.datetime.combine(as_of, dt.time()))
-    hist = wallet_history(cdc.select("seq", "user_id", "ts", "amount_change"))
     quarantine = corrupt.select(F.col("_corrupt").alias("raw"), F.lit("malformed row").alias("reason")) \
         .unionByName(bad_ts.select(F.col("raw_ts").alias("raw"), "reason"))
-    return hist, quarantine
+    return cdc.select("seq", "user_id", "ts", "amount_change"), quarantine
+
+
+def build_history(spark: SparkSession, raw_path: str, as_of: dt.date) -> tuple[DataFrame, DataFrame]:
+    """CSV -> parsed CDC -> running balances. Returns ``(history, quarantine)``."""
+    cdc, quarantine = read_cdc(spark, raw_path, as_of)
+    return wallet_history(cdc), quarantine
 
 
 def pipeline_main(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
@@ -119,3 +126,59 @@ def pipeline_main(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     audit.write.mode("overwrite").parquet(f"{base}/run_audit/v={cfg.run_id}")
     paths["run_audit"] = f"{base}/run_audit/v={cfg.run_id}"
     return paths
+
+
+STATE = WALLET_HISTORY  # seq, user_id, ts, amount_change, balance (amount unused in the state)
+
+
+def pipeline_increment(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
+    """A daily run that reads only the new CDC files.
+
+    Balances of the new movements are extended from the stored per-user
+    state (``ledger_state``), appended to the history as one run directory,
+    and the payouts of ``[cfg.start, cfg.end]`` are computed from the recent
+    history plus one snapshot row per user (``payouts_since``), then
+    republished by day. Work is proportional to the new movements and the
+    number of users, not to the whole ledger. Out-of-order movements (older
+    than a user's stored newest one) are quarantined, not applied.
+    """
+    if cfg.start is None or cfg.end is None:
+        raise ValueError("an incremental run needs the days to pay: start and end")
+    base = cfg.out_dir.rstrip("/")
+    paths: dict[str, str] = {}
+    cdc, quarantine = read_cdc(spark, cfg.raw_cdc_path, cfg.as_of)
+
+    state = read_latest(spark, f"{base}/ledger_state", STATE).select("seq", "user_id", "ts", "balance")
+    inc, late = extend_history(state, cdc)
+    run_dir = f"{base}/wallet_history_runs/run={cfg.run_id}"
+    sinks.write_table(inc, run_dir, WALLET_HISTORY, cluster_by=["user_id", "ts", "seq"])
+    quarantine.unionByName(late.select(F.concat_ws(",", *[F.col(c).cast("string") for c in late.columns])
+                                       .alias("raw"), F.lit("late movement").alias("reason"))) \
+        .write.mode("overwrite").parquet(f"{base}/quarantine/v={cfg.run_id}")
+    written = spark.read.parquet(run_dir)
+
+    # state: users touched now take their newest row; others keep theirs
+    newest = ledger_state(written)
+    new_state = state.join(newest.select("user_id"), "user_id", "left_anti").unionByName(newest)
+    paths["ledger_state"] = publish(new_state.withColumn("amount_change", F.lit(None)),
+                                    f"{base}/ledger_state", cfg.run_id, STATE)
+
+    users_cur = read_latest(spark, f"{base}/users", USERS)
+    paths["users"] = publish(sinks.insert_if_absent(users_cur, written.select("user_id").distinct(), ["user_id"]),
+                             f"{base}/users", cfg.run_id, USERS)
+
+    raw_rates = read_rate_series(spark, cfg.rates_format, cfg.rates_path)
+    current = read_latest(spark, f"{base}/daily_interest_rates", DAILY_RATES)
+    rates_tbl, _rejected = load_rates(raw_rates, period_bounds(written), current, cfg.as_of)
+    paths["daily_interest_rates"] = publish(rates_tbl, f"{base}/daily_interest_rates", cfg.run_id, DAILY_RATES)
+    rates = spark.read.parquet(paths["daily_interest_rates"])
+
+    history = spark.read.parquet(f"{base}/wallet_history_runs").select("seq", "user_id", "ts", "balance")
+    new = payouts_since(history, rates, cfg.start, cfg.end, cfg.thresholds)
+    period = one_row_period(spark, cfg.start, cfg.end)
+    target = read_latest(spark, f"{base}/daily_bonus_payouts", DAILY_PAYOUTS)
+    published = sinks.replace_days(target, new, publishable_days(history, rates, period, cfg.thresholds))
+    paths["daily_bonus_payouts"] = publish(published, f"{base}/daily_bonus_payouts", cfg.run_id,
+                                           DAILY_PAYOUTS, partition_by=["payout_date"])
+    paths["wallet_history_runs"] = f"{base}/wallet_history_runs"
+    return paths

@@ -93,3 +93,23 @@ def q_pipeline_main(spark, sf):
                          as_of=X.AS_OF, run_id=1)
     paths = pipeline_main(spark, cfg)
     return spark.read.parquet(paths["daily_bonus_payouts"]).select("payout_date", "user_id", "calculated_amount")
+
+
+@register("pipeline_increment", "SELECT payout_date, user_id, calculated_amount FROM payouts_s")
+def q_pipeline_increment(spark, sf):
+    """Two daily-style runs (before / from 2024-01-15), each reading only its
+    own CDC files; the published payouts equal the full run's."""
+    from walletyield.plans.pipeline import PipelineConfig, pipeline_increment
+    d = _dir(spark, "inc")
+    c = X.cdc(spark, sf)
+    cut = F.lit(dt.datetime(2024, 1, 15)).cast("timestamp_ntz")
+    S.write_cdc_csv(c.where(F.col("ts") < cut), f"{d}/a")
+    S.write_cdc_csv(c.where(F.col("ts") >= cut), f"{d}/b")
+    X.annual_rates(spark, sf).select("rate_date", F.col("annual_rate").cast("string").alias("annual_rate")) \
+        .write.option("header", True).csv(f"{d}/rates")
+    first, last = X.period(spark, sf).first()
+    pipeline_increment(spark, PipelineConfig(f"{d}/a", f"{d}/rates", f"{d}/tables", X.AS_OF,
+                                             start=first, end=dt.date(2024, 1, 14), run_id=1))
+    paths = pipeline_increment(spark, PipelineConfig(f"{d}/b", f"{d}/rates", f"{d}/tables", X.AS_OF,
+                                                     start=dt.date(2024, 1, 15), end=last, run_id=2))
+    return spark.read.parquet(paths["daily_bonus_payouts"]).select("payout_date", "user_id", "calculated_amount")
