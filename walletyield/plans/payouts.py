@@ -111,7 +111,7 @@ def payouts_period(history: DataFrame, rates: DataFrame, period: DataFrame,
 
 
 def payouts_since(history: DataFrame, rates: DataFrame, start: dt.date, end: dt.date,
-                  cfg: Thresholds = DEFAULT) -> DataFrame:
+                  cfg: Thresholds = DEFAULT, before: DataFrame | None = None) -> DataFrame:
     """Payouts of a (recent) period from a stored balance history, without
     rescanning its whole past: the rows inside the period (a literal
     ``ts >=`` filter, pushed to the parquet scan) plus, per user, the last
@@ -121,18 +121,24 @@ def payouts_since(history: DataFrame, rates: DataFrame, start: dt.date, end: dt.
 
     ``history`` is a published ``wallet_history`` (``seq, user_id, ts,
     balance``); a daily run then sorts one period of movements and one
-    snapshot row per user instead of re-sorting the whole ledger.
+    snapshot row per user instead of re-sorting the whole ledger. ``before``
+    may supply those snapshot rows (``seq, user_id, ts, balance``, newest per
+    user strictly before ``start``), e.g. from a stored ledger state; then the
+    older history is not read at all.
     """
     if start > end:
         raise ValueError("The start date cannot be after the end date.")
     lo = F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz")
     h = history.select("seq", "user_id", "ts", "balance")
     inside = h.where(F.col("ts") >= lo)
-    before = (h.where(F.col("ts") < lo)
-              .groupBy("user_id")
-              .agg(F.max(F.struct("ts", "seq", "balance")).alias("_s"))
-              .select(F.col("_s.seq").alias("seq"), "user_id", F.col("_s.ts").alias("ts"),
-                      F.col("_s.balance").alias("balance")))
+    if before is not None:
+        before = before.select("seq", "user_id", "ts", "balance")
+    else:
+        before = (h.where(F.col("ts") < lo)
+                  .groupBy("user_id")
+                  .agg(F.max(F.struct("ts", "seq", "balance")).alias("_s"))
+                  .select(F.col("_s.seq").alias("seq"), "user_id", F.col("_s.ts").alias("ts"),
+                          F.col("_s.balance").alias("balance")))
     relevant = keyed_scan(before.unionByName(inside), ["user_id"], ["ts", "seq"], {}, {"nxt": F.col("ts")})
     return payouts_period(relevant, rates, one_row_period(history.sparkSession, start, end), cfg)
 

@@ -174,7 +174,16 @@ def pipeline_increment(spark: SparkSession, cfg: PipelineConfig) -> dict[str, st
     rates = spark.read.parquet(paths["daily_interest_rates"])
 
     history = spark.read.parquet(f"{base}/wallet_history_runs").select("seq", "user_id", "ts", "balance")
-    new = payouts_since(history, rates, cfg.start, cfg.end, cfg.thresholds)
+    # When every stored state row precedes the first paid day, the snapshot
+    # before it is the state plus this run's earlier rows: the old history is
+    # not read. (One scalar over the state, one row per user.)
+    lo = dt.datetime.combine(cfg.start, dt.time())
+    newest_state = state.agg(F.max("ts")).first()[0]
+    before = None
+    if newest_state is None or newest_state < lo:
+        early = written.where(F.col("ts") < F.lit(lo).cast("timestamp_ntz")).select("seq", "user_id", "ts", "balance")
+        before = ledger_state(state.unionByName(early))
+    new = payouts_since(history, rates, cfg.start, cfg.end, cfg.thresholds, before=before)
     period = one_row_period(spark, cfg.start, cfg.end)
     target = read_latest(spark, f"{base}/daily_bonus_payouts", DAILY_PAYOUTS)
     published = sinks.replace_days(target, new, publishable_days(history, rates, period, cfg.thresholds))
