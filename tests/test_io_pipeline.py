@@ -107,7 +107,9 @@ def test_oracle_sf0001_sample(spark):
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     q, s = E.queries(), E.oracle_sql()
-    for name in ["payouts_period", "run_audit", "dq_rule_check", "step_timings", "monotonic_timestamps"]:
+    for name in ["payouts_period", "run_audit", "dq_rule_check", "step_timings", "monotonic_timestamps",
+                 "wallet_history_skewed", "extend_history", "asof_join", "replace_days", "table_checks",
+                 "log_filter", "payout_total_ma14", "not_null_violations", "load_rates"]:
         sdf = q[name](spark, SF)
         res = con.sql(s[name])
         assert canon([tuple(r) for r in sdf.collect()], sdf.columns) == canon(res.fetchall(), res.columns), name
