@@ -59,7 +59,7 @@ def spark_type_name(dt_) -> str:
 
 def duck(sf_dir: str):
     con = duckdb.connect()
-    con.execute("SET TimeZone='UTC'")
+    con.execute(f"SET TimeZone='{os.environ.get('WY_DUCKDB_TZ', 'UTC')}'")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return con
