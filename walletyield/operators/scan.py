@@ -122,7 +122,7 @@ def hot_keys(df: DataFrame, key: list[str], fanout: int) -> DataFrame:
     total = counts.agg(F.sum("_n").alias("_total"))
     return (with_scalars(counts, total)
             .where(F.col("_n") * F.lit(fanout) > F.col("_total"))
-            .select(*key))
+            .select(*key, "_n", "_total"))
 
 
 def keyed_scan(df: DataFrame, key: list[str], order: list[str],
@@ -143,11 +143,10 @@ def keyed_scan(df: DataFrame, key: list[str], order: list[str],
             raise ValueError(f"unsupported scan {op!r}")
     spark = df.sparkSession
     fanout = int(fanout or shuffle_partitions(spark))
-    parts = int(range_partitions or fanout)
     base_cols = df.columns
 
     if not key:
-        return _segmented(df, key, order, scans, leads, parts, base_cols)
+        return _segmented(df, key, order, scans, leads, int(range_partitions or fanout), base_cols)
 
     w = Window.partitionBy(*key).orderBy(*order)
     wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -182,6 +181,9 @@ def keyed_scan(df: DataFrame, key: list[str], order: list[str],
     hot = hot_keys(df, key, fanout).limit(fanout + 1).collect()
     if not hot:
         return plain(df)
+    # slices of the same average size as the plain path's partitions
+    hot_rows_n, total = sum(r["_n"] for r in hot), hot[0]["_total"]
+    parts = int(range_partitions or max(1, -(-hot_rows_n * fanout // total)))
     is_hot = _key_in(key, hot)  # IN-list: pushed down to the scan, never NULL
     normal = plain(df.where(~is_hot))
     hot_rows = df.where(is_hot)
