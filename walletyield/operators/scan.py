@@ -134,6 +134,9 @@ def keyed_scan(df: DataFrame, key: list[str], order: list[str],
 
     ``scans`` maps output name -> (op, expression); ``leads`` maps output
     name -> expression. Returns every input row once, with the new columns.
+    ``fanout`` defaults to the shuffle partitions; ``range_partitions`` (the
+    hot slices) defaults to the hot rows' share of ``fanout``, so a slice is
+    as large as an average partition of the plain path.
     """
     key = list(key)
     order = list(order)
