@@ -201,11 +201,6 @@ class WordBpe:
         return " ".join([self.token_of[i] for i in ids if i in self.token_of])
 
 
-@lru_cache(maxsize=2)
-def loaded(path: str) -> WordBpe:
-    return WordBpe(path)
-
-
 class ChunkTable:
     """Chunks of texts replaced by what ``render`` makes of their tokens.
 
@@ -254,6 +249,26 @@ class ChunkTable:
         return out
 
 
+def as_text(bpe: WordBpe) -> Callable[[list[str]], tuple[bytes, ...]]:
+    """Decimal ids, and the decoded tokens, each with a space behind it."""
+    ids = {t: b"%d " % i for t, i in bpe.id_of.items()}
+    names = {t: t.encode() + b" " for t in bpe.id_of}
+    return lambda toks: (b"".join([ids[t] for t in toks]), b"".join([names[t] for t in toks]))
+
+
+def as_words(bpe: WordBpe) -> Callable[[list[str]], tuple[bytes, ...]]:
+    """Ids as little-endian 32-bit words."""
+    ids = {t: i.to_bytes(4, "little") for t, i in bpe.id_of.items()}
+    return lambda toks: (b"".join([ids[t] for t in toks]),)
+
+
+@lru_cache(maxsize=2)
+def chunk_table(path: str, render: Callable) -> ChunkTable:
+    """One table for each Python worker: later tasks find what earlier ones have learnt."""
+    bpe = WordBpe(path)
+    return ChunkTable(bpe, render(bpe))
+
+
 def slices(texts: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts with a bounded sum of bytes (a single longer text stands alone)."""
     sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
@@ -281,10 +296,7 @@ def encode_documents(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", t
     rows = text_rows(docs, id_col, text_col)
 
     def run(batches):
-        bpe = loaded(vocab_path)
-        ids = {t: b"%d " % i for t, i in bpe.id_of.items()}
-        names_of = {t: t.encode() + b" " for t in bpe.id_of}
-        table = ChunkTable(bpe, lambda toks: (b"".join([ids[t] for t in toks]), b"".join([names_of[t] for t in toks])))
+        table = chunk_table(vocab_path, as_text)
         for batch in batches:
             for lo, hi in slices(batch.column(1)):
                 own, decoded = table(batch.column(1).slice(lo, hi - lo))

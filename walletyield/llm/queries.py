@@ -27,6 +27,12 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
 
 
+@register
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from walletyield.llm.packing import pack_documents
+    return pack_documents(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
+
+
 def queries() -> dict[str, Builder]:
     return dict(REGISTRY)
 
