@@ -28,14 +28,11 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_stored(df: DataFrame) -> None:
-    """Delete the files of a table made by ``stored`` once nothing reads it any more."""
-    spark = df.sparkSession
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``shared_folder`` once nothing reads it any more."""
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def crc_of_id(col: str = "doc_id") -> Column:

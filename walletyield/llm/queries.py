@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from walletyield.llm.common import table
+from walletyield.llm.common import remove_folder, shared_folder, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Builder] = {}
@@ -33,6 +33,27 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
 
 
+@register
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from walletyield.llm import warc
+    arc, out = shared_folder(spark, "arc"), shared_folder(spark, "warc")
+    warc.write_arc(table(spark, sf_dir, "pages"), arc)
+    warc.convert(spark, arc, out)
+    remove_folder(spark, arc)
+    return warc.read_warc(spark, out).drop("url")
+
+
+ORACLE["op8_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS payload_digest FROM p),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS top FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < top THEN top END AS refers_to
+FROM g
+"""
+
+
 def queries() -> dict[str, Builder]:
     return dict(REGISTRY)
 
