@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from walletyield.llm.common import remove_folder, shared_folder, table
+from walletyield.llm.common import crc_of_id, remove_folder, shared_folder, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Builder] = {}
@@ -54,6 +55,15 @@ FROM g
 """
 
 
+@register
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from walletyield.llm import toxicity
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), "toxic", crc_of_id() % 4 != 2)
+    return toxicity.score(docs, model).select(
+        "doc_id", (crc_of_id() % 4 == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Builder]:
     return dict(REGISTRY)
 
