@@ -34,6 +34,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
 
 
+@register
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from walletyield.llm import quality
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), "quality", crc_of_id() % 5 != 0)
+    return quality.score(docs, model).select(
+        "doc_id", (crc_of_id() % 5 == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @register
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from walletyield.llm import warc
