@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from walletyield.llm import sharding
 from walletyield.llm.common import crc_of_id, remove_folder, shared_folder, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,23 @@ def register(fn: Builder) -> Builder:
     return fn
 
 
+@register
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from walletyield.llm import topk
+    return topk.top_k(topk.scaled(table(spark, sf_dir, "embeddings"), 64), F.col("vec_id") % 20 == 0, 20)
+
+
+ORACLE["op1_topk"] = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+             list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+      FROM e q JOIN e c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""
+
+
 @register
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from walletyield.llm.bpe import encode_documents
@@ -43,6 +61,15 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (crc_of_id() % 5 == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@register
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.place(docs, sharding.shard_names(sharding.SHARDS)).select("doc_id", "slot", "shard")
+
+
+ORACLE["op4_sharding"] = sharding.ORACLE
+
+
 @register
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from walletyield.llm import warc
