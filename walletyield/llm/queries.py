@@ -70,6 +70,28 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op4_sharding"] = sharding.ORACLE
 
 
+@register
+def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from walletyield.llm import vectordedup
+    return vectordedup.near_duplicates(table(spark, sf_dir, "embeddings"), 0.93)
+
+
+ORACLE["op5_vector_dedup"] = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id
+          WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.93),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, least(a, min(b)) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id,
+       vec_id = coalesce(component_id, vec_id) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN least ON least.a = vec_id
+"""
+
+
 @register
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from walletyield.llm import warc
