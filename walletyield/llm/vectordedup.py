@@ -29,7 +29,7 @@ from walletyield.llm.common import stored, usable_vectors
 from walletyield.llm.components import components
 
 MOST_PIVOTS = 2048
-NEAREST = 8
+NEAREST = 12
 SHARED = 2
 BLOCK_ROWS = 1500
 
