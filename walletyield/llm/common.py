@@ -45,3 +45,14 @@ def usable_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     x = F.col(vec_col)
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     return df.where(F.col(id_col).isNotNull() & x.isNotNull() & (F.size(x) > 0) & ~bad)
+
+
+def present(rows: DataFrame, ids: DataFrame, col: str, slots: int = 1 << 18) -> DataFrame:
+    """The rows whose id is among ``ids`` (distinct, one column of the same name).
+
+    A broadcast table of at most ``slots`` hash slots drops most other rows before the exact
+    join moves any; where ids are many it drops few, and the join alone does the work.
+    """
+    slot = F.pmod(F.xxhash64(col), F.lit(slots))
+    taken = ids.select(slot.alias("_slot")).distinct()
+    return rows.join(F.broadcast(taken), slot == F.col("_slot"), "left_semi").join(ids, col, "left_semi")

@@ -92,6 +92,12 @@ FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN least ON least.a = vec_id
 """
 
 
+@register
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from walletyield.llm import neardup
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @register
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from walletyield.llm import warc
