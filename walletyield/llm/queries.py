@@ -98,6 +98,13 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@register
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from walletyield.llm import linededup
+    cleaned = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "removed", "n_near")
+
+
 @register
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from walletyield.llm import warc
