@@ -9,7 +9,7 @@ length, and isotonic regression over sample documents turns it into a probabilit
 
 Null texts are empty, and an empty text is one empty line of weight 1. Without labelled rows of both
 kinds the score is the share of label 1 among them (0 if there are none). Repeated
-rows and rows without an id are scored like any other; extra columns are dropped. A very
+rows and rows without an id are scored like any other, and extra columns pass through. A very
 long text is scored whole, by lines; only the sample leaves out documents of more than
 ``SAMPLE_LINES`` lines.
 """
@@ -24,7 +24,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 
-from walletyield.llm.bpe import slices, text_rows
 from walletyield.llm.textfeat import Isotonic, TokenRows, labelled_sample, sums
 
 SAMPLE_ROWS = 8_000
@@ -203,17 +202,6 @@ def train(docs: DataFrame, labels: DataFrame, label: str, learnable: Column, row
     return Model(Field.learn(x, at, np.repeat(y, size)), Isotonic(raw, y), share)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and score (0 to 1, higher: good is likelier) of every row, in one pass without a shuffle."""
-    rows = text_rows(docs, id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
-        model, of = shared.value, TokenRows(token_row)
-        for batch in batches:
-            for lo, hi in slices(batch.column(1)):
-                out = model(batch.column(1).slice(lo, hi - lo), of)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(out, pa.float64())], names=["id", "score"])
-
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
+def scorer(model: Model):
+    rows = TokenRows(token_row)
+    return lambda texts: model(texts, rows)

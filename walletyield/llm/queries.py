@@ -55,9 +55,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from walletyield.llm import quality
+    from walletyield.llm.textfeat import scored
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"), "quality", crc_of_id() % 5 != 0)
-    return quality.score(docs, model).select(
+    return scored(docs, model, quality.scorer).select(
         "doc_id", (crc_of_id() % 5 == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
@@ -129,9 +130,10 @@ FROM g
 @register
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from walletyield.llm import toxicity
+    from walletyield.llm.textfeat import scored
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), "toxic", crc_of_id() % 4 != 2)
-    return toxicity.score(docs, model).select(
+    return scored(docs, model, toxicity.scorer).select(
         "doc_id", (crc_of_id() % 4 == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 

@@ -6,14 +6,16 @@ for each distinct one, and sums over lines or documents are differences of runni
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from walletyield.llm.bpe import slices
 from walletyield.llm.common import stored
 
 CACHE_TOKENS = 300_000
@@ -67,6 +69,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learnable, r
     return stored(found.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("y").alias("y"), F.max("h").alias("h")), "sample")
 
 
+def scored(docs: DataFrame, model, score: Callable, name: str = "score", text_col: str = "text") -> DataFrame:
+    """Rows with the score of their text (null: empty) as one more column, in one pass without
+    a shuffle. ``score`` takes the model and gives a function of an Arrow array of texts.
+
+    Only the texts go to Python, in batches cut by bytes.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        of = score(shared.value)
+        for batch in batches:
+            texts = pa.array(batch, pa.string())
+            yield pd.Series(np.concatenate([of(texts.slice(a, b - a)) for a, b in slices(texts, 4_000_000)] or [np.zeros(0)]))
+
+    return docs.withColumn(name, run(F.coalesce(F.col(text_col), F.lit(""))))
+
+
 class Isotonic:
     """Monotone calibration: probabilities of label 1 by score, pooled where they'd fall."""
 

@@ -9,8 +9,8 @@ The model is learnt from a sample of at most ``SAMPLE_ROWS`` labelled documents,
 halves: features of a half use the lexicon of the other, and the calibration uses the scores
 of trees of the other. Every document is then scored in one pass without a shuffle. Null texts are empty, empty texts get the score that their features lead to.
 Without labelled rows of both kinds the score is the share of label 1 among them (0 if
-there are none). Repeated rows and rows without an id are scored like any other; extra
-columns are dropped. A very long text is scored whole.
+there are none). Repeated rows and rows without an id are scored like any other, and extra
+columns pass through. A very long text is scored whole.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from walletyield.llm.bpe import slices, text_rows
 from walletyield.llm.textfeat import Isotonic, TokenRows, labelled_sample, sums
 
 SAMPLE_ROWS = 12_000
@@ -214,22 +213,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str, learnable: Column, row
     return Model(lexicon, trees, Isotonic(raw, y), share)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and score (0 to 1, higher: toxic is likelier) of every row."""
-    rows = text_rows(docs, id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def scorer(model: Model):
+    rows = TokenRows(token_row(model.lexicon))
 
-    def run(batches):
-        model = shared.value
-        of = TokenRows(token_row(model.lexicon))
-        for batch in batches:
-            for lo, hi in slices(batch.column(1)):
-                texts = batch.column(1).slice(lo, hi - lo)
-                if model.trees is None:
-                    out = np.full(hi - lo, model.share)
-                else:
-                    out = model.calibrate(model.trees(document_features(texts, of)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(out, pa.float64())], names=["id", "score"])
-
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
+    def score(texts: pa.Array) -> np.ndarray:
+        if model.trees is None:
+            return np.full(len(texts), model.share)
+        return model.calibrate(model.trees(document_features(texts, rows)))
+
+    return score
