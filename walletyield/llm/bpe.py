@@ -11,12 +11,13 @@ state of a node follows from the states above it.
 Null texts count as empty; an empty text has no tokens, and the hashes are those of the
 empty string. Rows that repeat, and rows without an id, are encoded like any other; extra
 columns are dropped. A very long text is a slice of its own. The memory of a task is
-bounded: when its cache exceeds ``CACHE_CHUNKS`` entries, those that the texts at hand do
-not use go, which never changes a result.
+bounded: when its caches exceed ``CACHE_CHUNKS`` and ``CACHE_WORDS`` entries, those that the
+texts at hand do not use go, which never changes a result.
 """
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import unicodedata
@@ -31,11 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 250_000
+CACHE_WORDS = 800_000
 SPACE = regex.compile(r"\p{White_Space}+")
 #: From here on scripts differ between Unicode versions: the library's own normaliser and
 #: splitter cut a chunk that holds such a character.
-RARE = "԰"
+RARE = "\u0530"
+#: Characters that are a word of their own where they follow letters and end a chunk.
+SIGNS = frozenset("0123456789!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 
 
 def byte_letters() -> list[str]:
@@ -135,6 +139,8 @@ class WordBpe:
             chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
         if (low := chunk.lower()).isalpha():
             return [low]
+        if low[-1] in SIGNS and low[:-1].isalpha():
+            return [low[:-1], low[-1]]
         return self.words.findall(low)
 
     def _library_words(self, chunk: str) -> list[str]:
@@ -149,7 +155,8 @@ class WordBpe:
         last: list[str] = []  # by depth: the last token of the prefix that ends there,
         size: list[int] = []  # its number of symbols,
         head: list[int] = []  # and of the longest end of the prefix that begins a token
-        for name, word in sorted((w.encode("utf-8").decode("latin-1").translate(letter_of), w) for w in words):
+        names = {w if w.isascii() else w.encode("utf-8").decode("latin-1").translate(letter_of): w for w in words}
+        for name in sorted(names):
             n, depth = len(name) - 1, 0
             for a, b in zip(name[:n], path):
                 if a != b:
@@ -187,7 +194,7 @@ class WordBpe:
                 tokens.append(last[d])
                 d -= size[d]
             tokens.reverse()
-            out[word] = tokens
+            out[names[name]] = tokens
         return out
 
     def encode(self, text: str) -> list[int]:
@@ -211,20 +218,28 @@ class ChunkTable:
     def __init__(self, bpe: WordBpe, render: Callable[[list[str]], tuple[bytes, ...]]):
         self.bpe, self.render = bpe, render
         self.known: dict[str, tuple[bytes, ...]] = {}
+        self.words: dict[str, tuple[bytes, ...]] = {t: render([t]) for t in bpe.special}
 
     def learn(self, chunks: Iterable[str]) -> None:
-        bpe, special = self.bpe, self.bpe.special
+        bpe, words, render = self.bpe, self.words, self.render
         fresh = {c: bpe.chunk_words(c) for c in chunks}
-        tokens = bpe.encode_words({w for ws in fresh.values() for w in ws if w not in special})
-        for chunk, words in fresh.items():
-            if len(words) == 1 and words[0] in tokens:
-                toks = tokens[words[0]]
-            else:
-                toks = [t for w in words for t in ((w,) if w in special else tokens[w])]
-            self.known[chunk] = self.render(toks)
+        met = {w for ws in fresh.values() for w in ws}
+        if len(words) > CACHE_WORDS:
+            self.words = words = {w: x for w, x in words.items() if w in met or w in bpe.special}
+        for word, tokens in bpe.encode_words(met.difference(words)).items():
+            words[word] = render(tokens)
+        for chunk, ws in fresh.items():
+            self.known[chunk] = words[ws[0]] if len(ws) == 1 else tuple(map(b"".join, zip(*[words[w] for w in ws]))) or render([])
 
     def __call__(self, texts: pa.Array) -> list[list[memoryview]]:
         """For each part that ``render`` gives: the bytes of every text."""
+        gc.disable()  # it would walk the caches again and again; nothing here makes cycles
+        try:
+            return self._replace(texts)
+        finally:
+            gc.enable()
+
+    def _replace(self, texts: pa.Array) -> list[list[memoryview]]:
         cut = pc.ascii_split_whitespace(texts)
         ends = cut.offsets.to_numpy()
         flat = cut.values.slice(int(ends[0]), int(ends[-1] - ends[0])).dictionary_encode()
@@ -269,7 +284,7 @@ def chunk_table(path: str, render: Callable) -> ChunkTable:
     return ChunkTable(bpe, render(bpe))
 
 
-def slices(texts: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def slices(texts: pa.Array, most: int = 12_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts with a bounded sum of bytes (a single longer text stands alone)."""
     sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
     start = total = 0
