@@ -143,7 +143,7 @@ def test_republish_keeps_day_without_rate(spark):
 
 
 def test_log_steps_missing_and_out_of_order(spark):
-    from walletyield.operators.logs import log_parse, step_timings, steps_frame
+    from walletyield.operators.logs import log_parse, step_timings
     lines = spark.createDataFrame([
         ("2024-01-01 10:00:05,000 [INFO] src.main: Step B...",),
         ("2024-01-01 10:00:00,000 [INFO] src.main: Step C...",),
@@ -151,6 +151,6 @@ def test_log_steps_missing_and_out_of_order(spark):
         ("  continuation",)], "value string")
     parsed, unparsed = log_parse(lines)
     assert unparsed.count() == 1
-    t = step_timings(parsed, steps_frame(spark, ["Step A...", "Step B...", "Step C..."])).orderBy("step_no").collect()
+    t = step_timings(parsed, ["Step A...", "Step B...", "Step C..."]).orderBy("step_no").collect()
     assert [r.step for r in t] == ["Step B...", "Step C..."]
     assert t[0].duration_s == -5.0 and t[1].duration_s == 9.5

@@ -32,7 +32,7 @@ def test_hot_key_split_equals_plain(spark):
     c = X.cdc(spark, SF)
     plain = wallet_history(c, with_next=True, split_hot=False)
     # every key is "hot" at this fanout: all rows go through the range-split path
-    split = wallet_history(c, with_next=True, fanout=10_000, range_partitions=5, small_input_bytes=0)
+    split = wallet_history(c, with_next=True, fanout=10_000, range_partitions=5)
     assert rows(plain) == rows(split)
 
 
@@ -42,7 +42,7 @@ def test_one_hot_user_split(spark):
     data += [(1000 + i, 2 + i % 3, f"2024-01-02 00:00:{i:02d}", 2.0) for i in range(30)]
     c = cdc_frame(spark, data)
     plain = wallet_history(c, with_next=True, split_hot=False)
-    split = wallet_history(c, with_next=True, fanout=4, range_partitions=6, small_input_bytes=0)
+    split = wallet_history(c, with_next=True, fanout=4, range_partitions=6)
     assert rows(plain) == rows(split)
 
 
@@ -104,8 +104,7 @@ def test_shuffled_input_same_result(spark):
 def test_monotonic_by_user_split_equals_plain(spark):
     c = X.cdc_skewed(spark, SF).select("seq", "user_id", "ts")
     plain = monotonic_timestamps(c, "ts", ["seq"], by=["user_id"], split_hot=False)
-    split = monotonic_timestamps(c, "ts", ["seq"], by=["user_id"], fanout=8, range_partitions=4,
-                                 small_input_bytes=0)
+    split = monotonic_timestamps(c, "ts", ["seq"], by=["user_id"], fanout=8, range_partitions=4)
     assert rows(plain) == rows(split)
 
 
@@ -132,6 +131,6 @@ def test_extend_history_equals_full_and_flags_late(spark):
     state = ledger_state(wallet_history(c.where(F.col("ts") < cut)))
     late_row = c.where(F.col("ts") < cut).limit(1).withColumn("seq", F.lit(-1).cast("long"))
     inc = c.where(F.col("ts") >= cut).unionByName(late_row)
-    hist, late = extend_history(state, inc, fanout=8, range_partitions=3, small_input_bytes=0)
+    hist, late = extend_history(state, inc, fanout=8, range_partitions=3)
     assert rows(hist) == rows(full.where(F.col("ts") >= cut))
     assert late.count() == 1

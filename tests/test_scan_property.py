@@ -34,8 +34,7 @@ def test_split_equals_plain(spark, rows, parts):
     leads = {"nts": F.col("ts"), "nv": F.col("v")}
     for key in (["k1"], ["k1", "k2"]):
         plain = keyed_scan(df, key, ["ts", "seq"], scans, leads, split_hot=False)
-        split = keyed_scan(df, key, ["ts", "seq"], scans, leads, fanout=4, range_partitions=parts,
-                           small_input_bytes=0)
+        split = keyed_scan(df, key, ["ts", "seq"], scans, leads, fanout=4, range_partitions=parts)
         a = sorted((tuple(r) for r in plain.collect()), key=_key)
         b = sorted((tuple(r) for r in split.select(*plain.columns).collect()), key=_key)
         assert a == b, key

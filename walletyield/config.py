@@ -43,34 +43,34 @@ def _f(name, dtype, nullable=True, comment=None):
 
 # Declared table schemas (nullability and column comments kept as metadata).
 USERS = T.StructType([
-    _f("user_id", T.LongType(), False, "Unique identifier for each user in the system"),
+    _f("user_id", T.LongType(), False, "Account number, one row each"),
 ])
 
 CDC = T.StructType([
-    _f("seq", T.LongType(), True, "Event order tie-breaker"),
+    _f("seq", T.LongType(), True, "Position in the feed: orders movements of one instant"),
     _f("user_id", T.LongType(), True),
     _f("ts", T.TimestampNTZType(), True),
     _f("amount_change", MONEY, True),
 ])
 
 WALLET_HISTORY = T.StructType([
-    _f("seq", T.LongType(), True, "Event order tie-breaker"),
-    _f("user_id", T.LongType(), False, "Reference to the user who owns this wallet record"),
+    _f("seq", T.LongType(), True, "Position in the feed: orders movements of one instant"),
+    _f("user_id", T.LongType(), False, "Account whose balance changed"),
     _f("ts", T.TimestampNTZType(), False,
-       "Exact date and time of the balance change, used for tracking 24-hour holding periods"),
+       "Instant of the movement (UTC); a balance is held from here to the next movement"),
     _f("amount_change", MONEY, True),
-    _f("balance", MONEY, False, "Point-in-time wallet balance after transaction, 2 decimal places"),
+    _f("balance", MONEY, False, "Sum of all movements up to and including this one"),
 ])
 
 DAILY_RATES = T.StructType([
-    _f("rate_date", T.DateType(), False, "Reference date for the daily rate"),
-    _f("daily_rate", RATE, False, "Daily rate converted from the annual rate, 8 decimal places"),
+    _f("rate_date", T.DateType(), False, "Day on which the rate was published"),
+    _f("daily_rate", RATE, False, "Growth of one unit over one day, compounding to the annual rate"),
 ])
 
 DAILY_PAYOUTS = T.StructType([
-    _f("payout_date", T.DateType(), False, "Date for which the bonus was calculated"),
-    _f("user_id", T.LongType(), False, "Reference to the user receiving the bonus"),
-    _f("calculated_amount", MONEY, False, "Daily bonus amount (balance * daily_rate), 2 decimal places"),
+    _f("payout_date", T.DateType(), False, "Day that is paid"),
+    _f("user_id", T.LongType(), False, "Account that is paid"),
+    _f("calculated_amount", MONEY, False, "Start-of-day balance times the rate in force, rounded to cents"),
 ])
 
 RAW_CDC_CSV = T.StructType([
@@ -89,7 +89,7 @@ TABLE_SCHEMAS = {
 # Unique / primary keys and not-null columns declared by the schemas.
 UNIQUE_KEYS = {
     "users": [["user_id"]],
-    "wallet_history": [["user_id", "ts", "seq"]],
+    "wallet_history": [["user_id", "ts", "seq"], ["user_id", "ts"]],
     "daily_interest_rates": [["rate_date"]],
     "daily_bonus_payouts": [["payout_date", "user_id"]],
 }

@@ -5,11 +5,15 @@ Both sides are unioned with a side flag and scanned once in
 so far (``last`` non-NULL). The scan is the skew-safe keyed scan, so a hot key
 is split across tasks. ``strict=True`` puts left rows before right rows at
 equal times (right time < left time); ``strict=False`` the other way round
-(right time <= left time). ``tolerance`` drops matches older than it.
+(right time <= left time). ``tolerance`` drops matches older than it. As in
+SQL, a NULL key or time matches nothing: such left rows keep a NULL match,
+such right rows are left out of the scan.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +29,8 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, ri
     # side: 0 sorts first at equal time
     l_side, r_side = (0, 1) if strict else (1, 0)
     lcols = [c for c in left.columns]
-    payload = F.struct(*[F.col(c) for c in right_cols]).alias("_payload")
+    # the match's own time rides along, whichever columns are asked for
+    payload = F.struct(*[F.col(c) for c in right_cols], F.col(right_on).cast(lt).alias("_rt")).alias("_payload")
     rseq = F.col(right_seq).cast("long") if right_seq else F.lit(0).cast("long")
 
     l = left.select(
@@ -39,14 +44,14 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, ri
         F.col(right_on).cast(lt).alias("_t"), F.lit(r_side).alias("_side"), rseq.alias("_seq"),
         F.lit(None).cast(l.schema["_left"].dataType).alias("_left"),
         payload)
-    both = l.unionByName(r)
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*by, "_t"]])
+    both = l.where(known).unionByName(r.where(known))
     scanned = keyed_scan(both, by, ["_t", "_side", "_seq"],
                          {"_match": ("last", F.col("_payload"))}, **scan_opts)
     out = scanned.where(F.col("_left").isNotNull())
-    match = F.col("_match")
     if tolerance is not None:
-        ok = F.col(f"_match.{right_on}") >= F.col("_t") - tolerance if right_on in right_cols else F.lit(True)
-        match = F.when(ok, match)
-    out = out.withColumn("_match", match)
+        out = out.withColumn("_match", F.when(F.col("_match._rt") >= F.col("_t") - tolerance, F.col("_match")))
+    unknown = l.where(~known).withColumn("_match", F.col("_payload"))
+    out = out.select("_left", "_match").unionByName(unknown.select("_left", "_match"))
     return out.select(*[F.col(f"_left.{c}").alias(c) for c in lcols],
                       *[F.col(f"_match.{c}").alias(prefix + c) for c in right_cols])

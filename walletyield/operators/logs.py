@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walletyield.operators.common import with_scalars
-
 # fixed values: log line layout "yyyy-MM-dd HH:mm:ss,SSS [LEVEL] module: message"
 LOG_PATTERN = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3}) \[(\w+)\] ([\w.]+): (.*)"
 LOG_TS_FORMAT = "yyyy-MM-dd HH:mm:ss,SSS"
@@ -27,15 +25,15 @@ def log_parse(lines: DataFrame, col: str = "value") -> tuple[DataFrame, DataFram
     # first ']', the module to the first ':' (neither group can contain
     # those), and the message is the rest of the line up to a newline (as
     # Python's and RE2's ``.``; Java's would also stop at U+2028 and kin).
-    after_level = F.substring(v, 26, 1 << 30)
+    after_level = F.substr(v, F.lit(26))
     level = F.substring_index(after_level, "]", 1)
-    after_module = F.substring(after_level, F.length(level) + F.lit(3), F.lit(1 << 30))
+    after_module = F.substr(after_level, F.length(level) + F.lit(3))
     module = F.substring_index(after_module, ":", 1)
     parsed = lines.where(ok).select(
         F.try_to_timestamp(F.substring(v, 1, 23), F.lit(LOG_TS_FORMAT)).cast("timestamp_ntz").alias("datetime"),
         level.alias("level"),
         module.alias("module"),
-        F.substring_index(F.substring(after_module, F.length(module) + F.lit(3), F.lit(1 << 30)),
+        F.substring_index(F.substr(after_module, F.length(module) + F.lit(3)),
                           "\n", 1).alias("message"))
     unparsed = lines.where(~ok | ok.isNull())
     return parsed, unparsed
@@ -60,11 +58,12 @@ def log_filter(parsed: DataFrame, levels: list[str] | None = None, lo=None, hi=N
 
 
 def log_newest_first(parsed: DataFrame) -> DataFrame:
-    return parsed.orderBy(F.col("datetime").desc())
+    """Newest entry first; entries of one instant by level, module and message."""
+    return parsed.orderBy(F.col("datetime").desc(), "level", "module", "message")
 
 
 def log_level_counts(parsed: DataFrame) -> DataFrame:
-    return parsed.groupBy("level").agg(F.count(F.lit(1)).alias("count")).orderBy(F.col("count").desc())
+    return parsed.groupBy("level").agg(F.count(F.lit(1)).alias("count")).orderBy(F.col("count").desc(), "level")
 
 
 def log_timeline(parsed: DataFrame) -> DataFrame:
@@ -80,36 +79,38 @@ def log_summary(parsed: DataFrame) -> DataFrame:
                       F.count(F.lit(1)).alias("entries"))
 
 
-def steps_frame(spark: SparkSession, steps: list[str]) -> DataFrame:
-    """The step list as a small literal table (built JVM-side)."""
-    rows = F.array(*[F.struct(F.lit(i + 1).alias("step_no"), F.lit(s).alias("step"))
-                     for i, s in enumerate(steps)])
-    return spark.range(1).select(F.inline(rows))
+def step_match(parsed: DataFrame, steps: list[str]) -> DataFrame:
+    """``step_no, step`` and the log row, for each step pattern (a regex) that a message contains.
 
+    The steps are a short list of literals, so each row tests them in one narrow pass.
+    """
+    found = F.array(*[F.when(F.col("message").rlike(s), F.struct(F.lit(i).alias("step_no"), F.lit(s).alias("step")))
+                      for i, s in enumerate(steps, 1)])
+    return parsed.withColumn("_s", F.explode(F.filter(found, lambda x: x.isNotNull()))) \
+        .select(*parsed.columns, "_s.step_no", "_s.step")
 
-def step_match(parsed: DataFrame, steps: DataFrame) -> DataFrame:
-    """Log rows whose message contains a step pattern (regex containment).
 
-    The step list is a small fixed list, so it is broadcast and the theta
-    join runs map-side.
-    """
-    return parsed.join(F.broadcast(steps), F.regexp(F.col("message"), F.col("step")))
+def _first_seen(steps: list[str]):
+    """An array of steps seen with the earliest matching time of each, as one aggregate."""
+    seen = [F.struct(F.lit(i).alias("step_no"), F.lit(s).alias("step"),
+                     F.min(F.when(F.col("message").rlike(s), F.col("datetime"))).alias("start_time"))
+            for i, s in enumerate(steps, 1)]
+    return F.filter(F.array(*seen), lambda x: x["start_time"].isNotNull())
 
 
-def step_first_seen(parsed: DataFrame, steps: DataFrame) -> DataFrame:
-    """Earliest matching entry per step (partial aggregation per step)."""
-    return step_match(parsed, steps).groupBy("step_no", "step").agg(F.min("datetime").alias("start_time"))
+def step_first_seen(parsed: DataFrame, steps: list[str]) -> DataFrame:
+    """Earliest matching entry per step: one pass, partial aggregation, one row."""
+    return parsed.agg(_first_seen(steps).alias("_seen")).select(F.inline("_seen"))
 
 
-def step_timings(parsed: DataFrame, steps: DataFrame) -> DataFrame:
+def step_timings(parsed: DataFrame, steps: list[str]) -> DataFrame:
     """Start, end (next found step's start; the last runs to the newest
     entry) and duration in seconds; steps never seen are skipped, and an
     out-of-order step gives a negative duration, as in the reference."""
-    first = step_first_seen(parsed, steps)
-    newest = parsed.agg(F.max("datetime").alias("_newest"))
-    w = Window.orderBy("step_no")  # one row per found step
-    out = with_scalars(first, newest).withColumn(
-        "end_time", F.coalesce(F.lead("start_time").over(w), F.col("_newest")))
+    one = parsed.agg(_first_seen(steps).alias("_seen"), F.max("datetime").alias("_newest"))
+    ends = F.transform("_seen", lambda x, i: F.coalesce(F.get("_seen", i + 1)["start_time"], F.col("_newest")))
+    out = one.select(F.explode(F.arrays_zip("_seen", ends.alias("end_time"))).alias("_z")) \
+        .select("_z._seen.*", "_z.end_time")
     secs = (F.unix_micros(F.col("end_time").cast("timestamp")) -
             F.unix_micros(F.col("start_time").cast("timestamp"))) / F.lit(1e6)
     return out.select("step_no", "step", "start_time", "end_time", secs.alias("duration_s"))

@@ -62,18 +62,31 @@ def missing_rate_days(days: DataFrame, rates: DataFrame, day_col: str = "rate_da
     return cal.join(rates.select("rate_date").withColumnRenamed("rate_date", day_col), day_col, "left_anti")
 
 
-def upsert_rates(current: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Insert-or-update by ``rate_date``; the incoming row wins."""
-    inc = incoming.dropDuplicates(["rate_date"])
-    return current.join(inc.select("rate_date"), "rate_date", "left_anti").unionByName(inc)
+def upsert_rates(current: DataFrame, incoming: DataFrame, order: str | None = None) -> DataFrame:
+    """Insert-or-update by ``rate_date``; of several incoming rows for a date the last wins.
+
+    ``order`` names the column that says which row is later; without it the row
+    order of ``incoming`` counts.
+    """
+    last = F.col(order) if order else F.monotonically_increasing_id()
+    value = F.struct(*[c for c in incoming.columns if c not in ("rate_date", order)])
+    inc = (incoming.withColumn("_last", last).withColumn("_value", value)
+           .groupBy("rate_date").agg(F.max_by("_value", "_last").alias("_value")).select("rate_date", "_value.*"))
+    return current.join(inc.select("rate_date"), "rate_date", "left_anti").unionByName(inc.select(*current.columns))
 
 
 def load_rates(raw: DataFrame, bounds: DataFrame, current: DataFrame, as_of: dt.date,
                rate_col: str = "annual_rate") -> tuple[DataFrame, DataFrame]:
-    """Range -> reject -> convert -> upsert. Returns ``(rates_table, rejected)``."""
+    """Range -> reject -> convert -> upsert. Returns ``(rates_table, rejected)``.
+
+    A column ``file_order`` of ``raw`` (see ``read_rate_series``) says which of two
+    rates for a date is the later one.
+    """
     rng = clamp_rate_range(bounds, as_of)
     in_range = with_scalars(raw, rng) \
         .where(F.col("rate_date").between(F.col("start_date"), F.col("end_date"))) \
         .drop("start_date", "end_date")
     good, bad = reject_bad_rates(in_range, rate_col)
-    return upsert_rates(current, annual_to_daily_rate(good, rate_col)), bad
+    order = "file_order" if "file_order" in good.columns else None
+    daily = good.select("rate_date", _daily_expr(F.col(rate_col)).alias("daily_rate"), *([order] if order else []))
+    return upsert_rates(current, daily, order), bad

@@ -92,14 +92,6 @@ def _renamed(df: DataFrame, cols: list[str], prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) if c in cols else F.col(c) for c in df.columns])
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan (no job is run)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable: be conservative
-        return None
-
-
 def _key_in(key: list[str], rows) -> Column:
     """Null-safe membership of the key in a small list of key tuples."""
     if len(key) == 1:
@@ -129,7 +121,7 @@ def keyed_scan(df: DataFrame, key: list[str], order: list[str],
                scans: dict[str, tuple[str, Column]],
                leads: dict[str, Column] | None = None, *,
                fanout: int | None = None, range_partitions: int | None = None,
-               split_hot: bool = True, small_input_bytes: int = 64 << 20) -> DataFrame:
+               split_hot: bool = True) -> DataFrame:
     """Append running aggregates (``scans``) and next-row values (``leads``).
 
     ``scans`` maps output name -> (op, expression); ``leads`` maps output
@@ -174,14 +166,10 @@ def keyed_scan(df: DataFrame, key: list[str], order: list[str],
     if not split_hot:
         return plain(df)
 
-    # An input whose estimated size fits one task can't be hurt by skew.
-    est = estimated_bytes(df)
-    if est is not None and est <= small_input_bytes:
-        return plain(df)
     # At most ``fanout`` keys by construction (a key-only count with map-side
     # partial aggregation), so the list is small and bounded. When no key is
     # hot (the usual case) the plan is one exchange + window.
-    hot = hot_keys(df, key, fanout).limit(fanout + 1).collect()
+    hot = hot_keys(df, key, fanout).collect()
     if not hot:
         return plain(df)
     # slices of the same average size as the plain path's partitions

@@ -30,12 +30,6 @@ def replace_days(target: DataFrame, new: DataFrame, processed_days: DataFrame,
     return kept.unionByName(new.select(*target.columns))
 
 
-def upsert(current: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """Insert or update by ``keys``: the incoming row wins (ON CONFLICT DO UPDATE)."""
-    inc = incoming.dropDuplicates(keys)
-    return current.join(inc.select(*keys), keys, "left_anti").unionByName(inc.select(*current.columns))
-
-
 def insert_if_absent(current: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """Insert rows whose key is new (ON CONFLICT DO NOTHING); returns the new table."""
     new = incoming.dropDuplicates(keys).join(current.select(*keys), keys, "left_anti")
@@ -77,12 +71,15 @@ def not_null_guard(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols)
 
 
-def write_table(df: DataFrame, path: str, schema: T.StructType | None = None,
+def write_table(df: DataFrame, path: str | None, schema: T.StructType | None = None,
                 partition_by: list[str] | None = None, mode: str = "overwrite",
                 fmt: str = "parquet", cluster_by: list[str] | None = None,
-                files: int | None = None) -> None:
+                files: int | None = None, options: dict | None = None) -> None:
     """Write a table (schema enforced, optionally partitioned, e.g. by day).
 
+    ``options`` go to the writer; with ``fmt="jdbc"`` they name the url and the
+    table, and ``path`` is None (no database here: that form is not exercised).
+
     ``cluster_by`` range-partitions and sorts the rows on those columns
     before the write: every file covers a narrow key range (tight parquet
     min/max statistics, so later key filters skip files), and a hot key is
@@ -94,10 +91,14 @@ def write_table(df: DataFrame, path: str, schema: T.StructType | None = None,
     if cluster_by:
         n = files or int(out.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         out = out.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
-    w = out.write.mode(mode).format(fmt)
+    elif partition_by:
+        # a day's rows meet in few tasks, so a day is a few files, not one for each task
+        salt = F.pmod(F.xxhash64(*out.columns), F.lit(files or 4))
+        out = out.repartition(*partition_by, salt)
+    w = out.write.mode(mode).format(fmt).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    w.save(path) if path else w.save()
 
 
 def write_cdc_csv(df: DataFrame, path: str, ts: str = "ts") -> None:

@@ -33,7 +33,7 @@ def resolve_period(bounds: DataFrame, as_of: dt.date, start: dt.date | None = No
     spark = bounds.sparkSession
     if start is not None and end is not None:
         if start > end:
-            raise ValueError("The start date cannot be after the end date.")
+            raise ValueError(f"empty period: {start} comes after {end}")
         return one_row_period(spark, start, end)
     if (start is None) != (end is None):
         raise ValueError("Give both start and end, or neither.")
@@ -127,7 +127,7 @@ def payouts_since(history: DataFrame, rates: DataFrame, start: dt.date, end: dt.
     older history is not read at all.
     """
     if start > end:
-        raise ValueError("The start date cannot be after the end date.")
+        raise ValueError(f"empty period: {start} comes after {end}")
     lo = F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz")
     h = history.select("seq", "user_id", "ts", "balance")
     inside = h.where(F.col("ts") >= lo)

@@ -2,8 +2,9 @@
 
 A plain function over a config object. Tables are parquet directories under
 ``out_dir``; each table is published as a new version directory
-(``v=<run_id>``) and readers take the newest complete one, so a failed run
-never leaves a half-written table and a rerun is idempotent.
+(``v=<run_id>``). A run names itself in ``_commits`` once all its tables are
+written, and readers take the newest committed version only: what a failed run
+left behind is never read, so a retry gives the same rows as one clean run.
 """
 
 from __future__ import annotations
@@ -11,11 +12,12 @@ from __future__ import annotations
 import datetime as dt
 import time
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from walletyield.config import (DAILY_PAYOUTS, DAILY_RATES, DEFAULT, USERS, WALLET_HISTORY,
+from walletyield.config import (DAILY_PAYOUTS, DAILY_RATES, DEFAULT, MONEY, USERS, WALLET_HISTORY,
                                 Thresholds)
 from walletyield.operators import sinks
 from walletyield.operators.ledger import (extend_history, ledger_state, parse_cdc, period_bounds,
@@ -40,21 +42,37 @@ class PipelineConfig:
     run_id: int = field(default_factory=lambda: int(time.time() * 1000))
 
 
+STATE = WALLET_HISTORY  # seq, user_id, ts, amount_change, balance (amount unused in the state)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return jvm, p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def committed_runs(spark: SparkSession, base: str) -> list[int]:
+    """Ids of the runs that wrote all their tables, oldest first."""
+    jvm, p, fs = _fs(spark, f"{base}/_commits")
+    return sorted(int(st.getPath().getName()[4:]) for st in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def commit_run(spark: SparkSession, base: str, run_id: int) -> None:
+    """The last step of a run: an empty file named after it."""
+    jvm, p, fs = _fs(spark, f"{base}/_commits/run={run_id}")
+    fs.create(p, True).close()
+
+
 def latest_version(spark: SparkSession, path: str) -> str | None:
-    """Newest complete ``v=<n>`` directory under ``path`` (Hadoop FS listing)."""
-    jvm, p, fs = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    done = [int(st.getPath().getName()[2:]) for st in fs.listStatus(p)
-            if st.getPath().getName().startswith("v=")
-            and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))]
-    return f"{path.rstrip('/')}/v={max(done)}" if done else None
+    """Newest committed ``v=<n>`` directory of a table below the pipeline's folder."""
+    base = path.rstrip("/").rpartition("/")[0]
+    done = [n for n in committed_runs(spark, base) if _exists(spark, f"{path.rstrip('/')}/v={n}")]
+    return f"{path.rstrip('/')}/v={done[-1]}" if done else None
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    _, p, fs = _fs(spark, path)
+    return bool(fs.exists(p))
 
 
 def read_latest(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -64,28 +82,88 @@ def read_latest(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(v)
 
 
+def read_history(spark: SparkSession, base: str, also: int | None = None) -> DataFrame:
+    """The ledger: the newest full history and the increments after it.
+
+    An increment that had to rebuild a user replaces the user's earlier rows.
+    ``also`` is a run that isn't committed yet.
+    """
+    full = latest_version(spark, f"{base}/wallet_history")
+    since = int(full.rpartition("=")[2]) if full else None
+    cols = [f.name for f in WALLET_HISTORY]
+    parts = [spark.read.schema(WALLET_HISTORY).parquet(full).select(*cols, F.lit(since).alias("run"))] if full else []
+    runs = [n for n in [*committed_runs(spark, base), *([also] if also is not None else [])]
+            if (since is None or n > since) and _exists(spark, f"{base}/wallet_history_runs/run={n}")]
+    for n in runs:
+        parts.append(spark.read.schema(WALLET_HISTORY).parquet(f"{base}/wallet_history_runs/run={n}")
+                     .select(*cols, F.lit(n).alias("run")))
+    if not parts:
+        return spark.createDataFrame([], WALLET_HISTORY)
+    rebuilt = [spark.read.parquet(f"{base}/rebuilt_users/run={n}").select("user_id", F.lit(n).alias("_since"))
+               for n in runs if _exists(spark, f"{base}/rebuilt_users/run={n}")]
+    history = reduce(DataFrame.unionByName, parts)
+    if rebuilt:
+        last = reduce(DataFrame.unionByName, rebuilt).groupBy("user_id").agg(F.max("_since").alias("_since"))
+        history = history.join(last, "user_id", "left").where(F.col("_since").isNull() | (F.col("run") >= F.col("_since")))
+    return history.select(*cols)
+
+
 def publish(df: DataFrame, path: str, run_id: int, schema, partition_by=None, cluster_by=None) -> str:
     out = f"{path.rstrip('/')}/v={run_id}"
     sinks.write_table(df, out, schema, partition_by=partition_by, cluster_by=cluster_by)
     return out
 
 
-def read_cdc(spark: SparkSession, raw_path: str, as_of: dt.date) -> tuple[DataFrame, DataFrame]:
-    """CSV -> typed, parsed CDC ``(seq, user_id, ts, amount_change)`` and a quarantine."""
-    valid, corrupt = read_cdc_csv(spark, raw_path)
-    # deterministic tie-breaker for rows at one instant (identical rows tie harmlessly)
-    raw = valid.withColumnRenamed("timestamp", "ts").withColumn(
-        "seq", F.xxhash64("user_id", "ts", "amount_change"))
+def sequence_in_files(rows: DataFrame) -> DataFrame:
+    """``seq`` from ``file_order``: file number, then the place in the file.
+
+    A file's number is its rank by path (one row per file and split here). Inside a
+    split rows are counted from the split's first byte: a row has a byte at least, so
+    numbers are unique and stand in file order however the files were split.
+    """
+    o = F.col("file_order")
+    splits = rows.groupBy(o["file"].alias("_file"), o["block"].alias("_block")).agg(F.min(o["row"]).alias("_first"))
+    files = splits.select("_file").distinct().withColumn("_no", F.row_number().over(Window.orderBy("_file")) - 1)
+    placed = splits.join(files, "_file")
+    seq = F.shiftleft(F.col("_no").cast("long"), 40) + F.col("_block") + (o["row"] - F.col("_first"))
+    return (rows.join(placed, (o["file"] == F.col("_file")) & (o["block"] == F.col("_block")))
+            .withColumn("seq", seq).drop("_file", "_block", "_first", "_no", "file_order"))
+
+
+def read_cdc(spark: SparkSession, raw_path: str, as_of: dt.date, after: int = -1) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """CSV -> typed, parsed CDC ``(seq, user_id, ts, amount_change)``, a quarantine, a report.
+
+    Movements of one instant keep their order in the file; ``seq`` starts after
+    ``after``. Rows without a user can't enter the ledger and are quarantined, the other
+    findings of ``cdc_validation`` are reported and stay, as in the reference.
+    """
+    valid, corrupt = read_cdc_csv(spark, raw_path, with_order=True)
+    raw = sequence_in_files(valid.withColumnRenamed("timestamp", "ts")).withColumn("seq", F.col("seq") + F.lit(after + 1))
     cdc, bad_ts = parse_cdc(raw, dt.datetime.combine(as_of, dt.time()))
-    quarantine = corrupt.select(F.col("_corrupt").alias("raw"), F.lit("malformed row").alias("reason")) \
-        .unionByName(bad_ts.select(F.col("raw_ts").alias("raw"), "reason"))
-    return cdc.select("seq", "user_id", "ts", "amount_change"), quarantine
+    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("user_id", "ts", "amount_change")])
+    quarantine = (corrupt.select(F.col("_corrupt").alias("raw"), F.lit("malformed row").alias("reason"))
+                  .unionByName(raw.where("user_id IS NULL").select(line.alias("raw"), F.lit("no user").alias("reason"))))
+    report = bad_ts.select(F.col("raw_ts").alias("raw"), "reason").unionByName(
+        raw.where("ts IS NULL OR amount_change IS NULL OR amount_change = 0")
+        .select(line.alias("raw"), F.lit("empty time, or empty or zero amount").alias("reason")))
+    return cdc.where("user_id IS NOT NULL").select("seq", "user_id", "ts", "amount_change"), quarantine, report
+
+
+def with_balance(history: DataFrame) -> DataFrame:
+    """Before a user's first amount the balance is 0 (movements may come without one)."""
+    return history.withColumn("balance", F.coalesce("balance", F.lit(0)).cast(MONEY))
 
 
-def build_history(spark: SparkSession, raw_path: str, as_of: dt.date) -> tuple[DataFrame, DataFrame]:
-    """CSV -> parsed CDC -> running balances. Returns ``(history, quarantine)``."""
-    cdc, quarantine = read_cdc(spark, raw_path, as_of)
-    return wallet_history(cdc), quarantine
+def build_history(spark: SparkSession, raw_path: str, as_of: dt.date) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """CSV -> parsed CDC -> running balances. Returns ``(history, quarantine, report)``."""
+    cdc, quarantine, report = read_cdc(spark, raw_path, as_of)
+    return with_balance(wallet_history(cdc)), quarantine, report
+
+
+def _write_findings(base: str, run_id: int, quarantine: DataFrame, report: DataFrame, rates: DataFrame) -> None:
+    quarantine.write.mode("overwrite").parquet(f"{base}/quarantine/v={run_id}")
+    report.write.mode("overwrite").parquet(f"{base}/cdc_report/v={run_id}")
+    rates.drop("file_order").write.mode("overwrite").parquet(f"{base}/rejected_rates/v={run_id}")
 
 
 def pipeline_main(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
@@ -94,7 +172,7 @@ def pipeline_main(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
 
     # 1. users: ids 1..N (or every user seen), inserted if absent
     users_cur = read_latest(spark, f"{base}/users", USERS)
-    hist, quarantine = build_history(spark, cfg.raw_cdc_path, cfg.as_of)
+    hist, quarantine, report = build_history(spark, cfg.raw_cdc_path, cfg.as_of)
     incoming = (user_ids_range(spark, cfg.num_users) if cfg.num_users
                 else hist.select("user_id").distinct())
     paths["users"] = publish(sinks.insert_if_absent(users_cur, incoming, ["user_id"]),
@@ -103,14 +181,17 @@ def pipeline_main(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     # 2. wallet history (overwrite = a new version)
     paths["wallet_history"] = publish(hist, f"{base}/wallet_history", cfg.run_id, WALLET_HISTORY,
                                       cluster_by=["user_id", "ts", "seq"])
-    quarantine.write.mode("overwrite").parquet(f"{base}/quarantine/v={cfg.run_id}")
-    history = spark.read.parquet(paths["wallet_history"])
+    history = spark.read.schema(WALLET_HISTORY).parquet(paths["wallet_history"])
+    # the state that the next increment starts from
+    paths["ledger_state"] = publish(ledger_state(history).withColumn("amount_change", F.lit(None)),
+                                    f"{base}/ledger_state", cfg.run_id, STATE)
 
     # 3. rates: range from the history, validated, upserted
     bounds = period_bounds(history)
-    raw_rates = read_rate_series(spark, cfg.rates_format, cfg.rates_path)
+    raw_rates = read_rate_series(spark, cfg.rates_format, cfg.rates_path, with_order=True)
     current = read_latest(spark, f"{base}/daily_interest_rates", DAILY_RATES)
-    rates_tbl, _rejected = load_rates(raw_rates, bounds, current, cfg.as_of)
+    rates_tbl, rejected = load_rates(raw_rates, bounds, current, cfg.as_of)
+    _write_findings(base, cfg.run_id, quarantine, report, rejected)
     paths["daily_interest_rates"] = publish(rates_tbl, f"{base}/daily_interest_rates", cfg.run_id, DAILY_RATES)
     rates = spark.read.parquet(paths["daily_interest_rates"])
 
@@ -125,39 +206,44 @@ def pipeline_main(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
                                            DAILY_PAYOUTS, partition_by=["payout_date"])
     audit.write.mode("overwrite").parquet(f"{base}/run_audit/v={cfg.run_id}")
     paths["run_audit"] = f"{base}/run_audit/v={cfg.run_id}"
+    commit_run(spark, base, cfg.run_id)
     return paths
 
 
-STATE = WALLET_HISTORY  # seq, user_id, ts, amount_change, balance (amount unused in the state)
-
-
 def pipeline_increment(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     """A daily run that reads only the new CDC files.
 
     Balances of the new movements are extended from the stored per-user
-    state (``ledger_state``), appended to the history as one run directory,
-    and the payouts of ``[cfg.start, cfg.end]`` are computed from the recent
-    history plus one snapshot row per user (``payouts_since``), then
-    republished by day. Work is proportional to the new movements and the
-    number of users, not to the whole ledger. Out-of-order movements (older
-    than a user's stored newest one) are quarantined, not applied.
+    state (``ledger_state``, which a full run publishes as well), appended to
+    the history as one run directory, and the payouts of ``[cfg.start, cfg.end]``
+    are computed from the recent history plus one snapshot row per user
+    (``payouts_since``), then republished by day. Users with a movement older
+    than their stored newest one are rebuilt from their whole history, so the
+    ledger equals that of a full run over all files; the other users' old
+    history is not read for it.
     """
     if cfg.start is None or cfg.end is None:
         raise ValueError("an incremental run needs the days to pay: start and end")
     base = cfg.out_dir.rstrip("/")
     paths: dict[str, str] = {}
-    cdc, quarantine = read_cdc(spark, cfg.raw_cdc_path, cfg.as_of)
-
     state = read_latest(spark, f"{base}/ledger_state", STATE).select("seq", "user_id", "ts", "balance")
-    inc, late = extend_history(state, cdc)
+    past = read_history(spark, base)
+    newest_seq = past.agg(F.max("seq")).first()[0]
+    cdc, quarantine, report = read_cdc(spark, cfg.raw_cdc_path, cfg.as_of, -1 if newest_seq is None else newest_seq)
+    _, late = extend_history(state, cdc)
+    rebuilt_dir = f"{base}/rebuilt_users/run={cfg.run_id}"
+    late.select("user_id").distinct().write.mode("overwrite").parquet(rebuilt_dir)
+    rebuilt = spark.read.schema("user_id long").parquet(rebuilt_dir)
+    any_late = not rebuilt.isEmpty()
+    inc, _ = extend_history(state, cdc.join(rebuilt, "user_id", "left_anti"))
+    if any_late:
+        whole = past.select("seq", "user_id", "ts", "amount_change").unionByName(cdc).join(rebuilt, "user_id", "left_semi")
+        inc = inc.unionByName(wallet_history(whole).select(*inc.columns))
     run_dir = f"{base}/wallet_history_runs/run={cfg.run_id}"
     # time-clustered: the next runs read it with a ``ts >=`` filter, which
     # parquet statistics then prune file by file
-    sinks.write_table(inc, run_dir, WALLET_HISTORY, cluster_by=["ts", "seq"])
-    quarantine.unionByName(late.select(F.concat_ws(",", *[F.col(c).cast("string") for c in late.columns])
-                                       .alias("raw"), F.lit("late movement").alias("reason"))) \
-        .write.mode("overwrite").parquet(f"{base}/quarantine/v={cfg.run_id}")
-    written = spark.read.parquet(run_dir)
+    sinks.write_table(with_balance(inc), run_dir, WALLET_HISTORY, cluster_by=["ts", "seq"])
+    written = spark.read.schema(WALLET_HISTORY).parquet(run_dir)
 
     # state: users touched now take their newest row; others keep theirs
     newest = ledger_state(written)
@@ -169,20 +255,21 @@ def pipeline_increment(spark: SparkSession, cfg: PipelineConfig) -> dict[str, st
     paths["users"] = publish(sinks.insert_if_absent(users_cur, written.select("user_id").distinct(), ["user_id"]),
                              f"{base}/users", cfg.run_id, USERS)
 
-    raw_rates = read_rate_series(spark, cfg.rates_format, cfg.rates_path)
+    raw_rates = read_rate_series(spark, cfg.rates_format, cfg.rates_path, with_order=True)
     current = read_latest(spark, f"{base}/daily_interest_rates", DAILY_RATES)
-    rates_tbl, _rejected = load_rates(raw_rates, period_bounds(written), current, cfg.as_of)
+    rates_tbl, rejected = load_rates(raw_rates, period_bounds(written), current, cfg.as_of)
+    _write_findings(base, cfg.run_id, quarantine, report, rejected)
     paths["daily_interest_rates"] = publish(rates_tbl, f"{base}/daily_interest_rates", cfg.run_id, DAILY_RATES)
     rates = spark.read.parquet(paths["daily_interest_rates"])
 
-    history = spark.read.parquet(f"{base}/wallet_history_runs").select("seq", "user_id", "ts", "balance")
+    history = read_history(spark, base, cfg.run_id).select("seq", "user_id", "ts", "balance")
     # When every stored state row precedes the first paid day, the snapshot
     # before it is the state plus this run's earlier rows: the old history is
     # not read. (One scalar over the state, one row per user.)
     lo = dt.datetime.combine(cfg.start, dt.time())
     newest_state = state.agg(F.max("ts")).first()[0]
     before = None
-    if newest_state is None or newest_state < lo:
+    if not any_late and (newest_state is None or newest_state < lo):
         early = written.where(F.col("ts") < F.lit(lo).cast("timestamp_ntz")).select("seq", "user_id", "ts", "balance")
         before = ledger_state(state.unionByName(early))
     new = payouts_since(history, rates, cfg.start, cfg.end, cfg.thresholds, before=before)
@@ -192,4 +279,5 @@ def pipeline_increment(spark: SparkSession, cfg: PipelineConfig) -> dict[str, st
     paths["daily_bonus_payouts"] = publish(published, f"{base}/daily_bonus_payouts", cfg.run_id,
                                            DAILY_PAYOUTS, partition_by=["payout_date"])
     paths["wallet_history_runs"] = f"{base}/wallet_history_runs"
+    commit_run(spark, base, cfg.run_id)
     return paths

@@ -307,7 +307,7 @@ def q_monotonic_timestamps_by_user(spark, sf):
 
 # --- the skewed ledger: hot-key detection always on, so the split path runs ---
 
-SKEW = {"small_input_bytes": 0}
+SKEW: dict = {}
 
 
 @register("wallet_history_skewed", "SELECT seq, user_id, ts, amount_change, balance FROM history_k")

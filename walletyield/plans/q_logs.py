@@ -19,7 +19,7 @@ def _parsed(spark, sf):
 
 
 def _steps(spark):
-    return G.steps_frame(spark, X.PIPELINE_STEPS)
+    return X.PIPELINE_STEPS
 
 
 @register("log_parse", "SELECT datetime, level, module, message FROM log_parsed")

@@ -100,6 +100,9 @@ UNION ALL SELECT 'wallet_history', 'not_null', 'balance', count(*) - count(balan
 UNION ALL SELECT 'wallet_history', 'unique', 'user_id,ts,seq', CAST(coalesce(sum(n), 0) AS BIGINT) FROM
   (SELECT count(*) AS n FROM history WHERE user_id IS NOT NULL AND ts IS NOT NULL AND seq IS NOT NULL
    GROUP BY user_id, ts, seq HAVING count(*) > 1)
+UNION ALL SELECT 'wallet_history', 'unique', 'user_id,ts', CAST(coalesce(sum(n), 0) AS BIGINT) FROM
+  (SELECT count(*) AS n FROM history WHERE user_id IS NOT NULL AND ts IS NOT NULL
+   GROUP BY user_id, ts HAVING count(*) > 1)
 UNION ALL SELECT 'daily_bonus_payouts', 'not_null', 'payout_date', count(*) - count(payout_date) FROM payouts_seeded
 UNION ALL SELECT 'daily_bonus_payouts', 'not_null', 'user_id', count(*) - count(user_id) FROM payouts_seeded
 UNION ALL SELECT 'daily_bonus_payouts', 'not_null', 'calculated_amount', count(*) - count(calculated_amount) FROM payouts_seeded

@@ -11,8 +11,15 @@ from pyspark.sql import types as T
 from walletyield.config import RAW_CDC_CSV
 
 
+def file_order():
+    """A column that sorts rows of a file scan as they stand in the files, by path:
+    unique, and independent of how the files are split over tasks."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
+
+
 def read_cdc_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CDC_CSV,
-                 corrupt_col: str = "_corrupt") -> tuple[DataFrame, DataFrame]:
+                 corrupt_col: str = "_corrupt", with_order: bool = False) -> tuple[DataFrame, DataFrame]:
     """Header CSV read as text, then typed with ``try_cast``.
 
     Returns ``(valid, corrupt)``: rows with a cell that does not cast to the
@@ -35,7 +42,8 @@ def read_cdc_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CDC_
     for b in bad:
         is_bad = is_bad | b
     raw_line = F.concat_ws(",", *[F.coalesce(F.col(f.name), F.lit("")) for f in schema.fields])
-    out = raw.select(*typed, F.when(is_bad, raw_line).alias(corrupt_col))
+    order = [file_order().alias("file_order")] if with_order else []
+    out = raw.select(*typed, F.when(is_bad, raw_line).alias(corrupt_col), *order)
     return (out.where(F.col(corrupt_col).isNull()).drop(corrupt_col),
             out.where(F.col(corrupt_col).isNotNull()))
 
@@ -50,14 +58,17 @@ def read_table(spark: SparkSession, fmt: str = "parquet", path: str | None = Non
 
 
 def read_rate_series(spark: SparkSession, fmt: str, path: str, lo: dt.date | None = None,
-                     hi: dt.date | None = None, options: dict | None = None) -> DataFrame:
+                     hi: dt.date | None = None, options: dict | None = None,
+                     with_order: bool = False) -> DataFrame:
     """Annual rate files ``rate_date, annual_rate`` (rate kept as text until
-    validated), filtered to ``[lo, hi]`` (pushed down to the scan)."""
+    validated), filtered to ``[lo, hi]`` (pushed down to the scan); ``with_order``
+    adds ``file_order``."""
     r = spark.read.format(fmt).options(**(options or {}))
     if fmt == "csv":
         r = r.option("header", True).schema("rate_date date, annual_rate string")
     df = r.load(path).select(F.col("rate_date").cast("date").alias("rate_date"),
-                             F.col("annual_rate").cast("string").alias("annual_rate"))
+                             F.col("annual_rate").cast("string").alias("annual_rate"),
+                             *([file_order().alias("file_order")] if with_order else []))
     if lo is not None:
         df = df.where(F.col("rate_date") >= F.lit(lo))
     if hi is not None:

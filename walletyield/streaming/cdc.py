@@ -49,9 +49,12 @@ def stream_daily_movements(stream: DataFrame, watermark: str = "1 day") -> DataF
                     "movements", F.col("net_change").cast(MONEY).alias("net_change")))
 
 
-def _latest_version(path: str, spark: SparkSession | None = None) -> str | None:
+def _latest_version(path: str, spark: SparkSession | None = None, below: int | None = None) -> str | None:
     """Newest ``v=<batch>`` directory that holds a complete write (_SUCCESS).
 
+    ``below`` leaves out that batch and later ones: a replayed batch must start
+    from what was there before it, not from what it wrote itself.
+
     Listed through the Hadoop FileSystem API, so it works on the shared
     cluster storage as well as locally.
     """
@@ -66,6 +69,7 @@ def _latest_version(path: str, spark: SparkSession | None = None) -> str | None:
         name = st.getPath().getName()
         if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
             done.append(int(name[2:]))
+    done = [v for v in done if below is None or v < below]
     return f"{path.rstrip('/')}/v={max(done)}" if done else None
 
 
@@ -74,12 +78,12 @@ def balance_upsert_batch(batch: DataFrame, batch_id: int, state_path: str, out_p
     """Extend the running balances with one micro-batch (foreachBatch body).
 
     Uses the batch operator :func:`extend_history` against the newest state
-    version; rows older than a user's stored newest movement go to
+    version before this batch; rows older than a user's stored newest movement go to
     ``late_path``. Every output is written under the batch id, so a replayed
     batch overwrites its own files.
     """
     spark = batch.sparkSession
-    prev = _latest_version(state_path, spark)
+    prev = _latest_version(state_path, spark, batch_id)
     inc = batch.select("seq", "user_id", "ts", "amount_change")
     if prev:
         prior = spark.read.parquet(prev)
@@ -135,7 +139,7 @@ def run_available_now(df: DataFrame, checkpoint: str, sink_path: str | None = No
 
 def window_upsert_batch(batch: DataFrame, batch_id: int, table_path: str) -> None:
     """Publish updated windows: new version = old minus updated keys + updates."""
-    prev = _latest_version(table_path, batch.sparkSession)
+    prev = _latest_version(table_path, batch.sparkSession, batch_id)
     out = batch
     if prev:
         old = batch.sparkSession.read.parquet(prev)
