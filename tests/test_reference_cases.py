@@ -6,6 +6,7 @@ from decimal import Decimal
 
 from helpers import F, cdc_frame, period_frame, rates_frame
 
+from walletyield.functions import exact_daily_rate
 from walletyield.operators.ledger import parse_cdc, period_bounds, wallet_history
 from walletyield.operators.rates import annual_to_daily_rate, load_rates, upsert_rates
 from walletyield.plans.payouts import payouts_day, payouts_period
@@ -39,6 +40,8 @@ def test_rate_of_a_day(spark):
     with decimal.localcontext() as ctx:
         ctx.prec = 28
         exact = (1 + annual / 100) ** (decimal.Decimal(1) / decimal.Decimal(365)) - 1
+    ten = a.select(exact_daily_rate("annual_rate").alias("r")).collect()[0].r
+    assert abs(ten - exact) < Decimal("1e-10")
     assert abs(r.daily_rate - exact) < Decimal("1e-8")
     assert r.daily_rate == Decimal("0.00035062")
 

@@ -5,6 +5,7 @@ from walletyield.functions.exprs import (  # noqa: F401
     before_day_start,
     bonus_amount,
     day_start,
+    exact_daily_rate,
     first_hold_day,
     hold_satisfied,
     iso_seconds,

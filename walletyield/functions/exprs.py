@@ -70,11 +70,16 @@ def valid_annual_rate(c) -> Column:
     return d.isNotNull() & (d > F.lit(-100))
 
 
-def annual_to_daily_rate(annual) -> Column:
-    """(1 + a/100) ** (1/365) - 1, HALF_UP to 10 dp, then stored at 8 dp."""
+def exact_daily_rate(annual) -> Column:
+    """(1 + a/100) ** (1/365) - 1, HALF_UP to 10 dp."""
     a = _c(annual).cast("double")
     raw = F.pow(F.lit(1.0) + a / F.lit(100.0), F.lit(1.0) / F.lit(365.0)) - F.lit(1.0)
-    return F.round(raw, 10).cast(RATE_10DP).cast(RATE)
+    return F.round(raw, 10).cast(RATE_10DP)
+
+
+def annual_to_daily_rate(annual) -> Column:
+    """The daily rate as it is stored: :func:`exact_daily_rate` at 8 dp."""
+    return exact_daily_rate(annual).cast(RATE)
 
 
 def pct_vs_avg(x, avg) -> Column:

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from walletyield.config import MONEY
-from walletyield.functions import bonus_amount, iso_seconds
+from walletyield.functions import bonus_amount, exact_daily_rate, iso_seconds
 from walletyield.operators import ledger as L
 from walletyield.operators import rates as R
 from walletyield.operators.asof import asof_join
@@ -30,6 +30,14 @@ def q_annual_to_daily_rate(spark, sf):
     return X.rates(spark, sf)
 
 
+@register("exact_daily_rate", """
+SELECT rate_date, CAST(round(power(1.0::DOUBLE + annual_rate / 100.0::DOUBLE, 1.0::DOUBLE / 365.0::DOUBLE) - 1.0::DOUBLE, 10) AS DECIMAL(18,10)) AS daily_rate
+FROM annual_rates""")
+def q_exact_daily_rate(spark, sf):
+    """The daily rate at the 10 decimals it is computed with."""
+    return X.annual_rates(spark, sf).select("rate_date", exact_daily_rate("annual_rate").alias("daily_rate"))
+
+
 @register("rate_asof", "SELECT payout_date, daily_rate, rate_source_date FROM rate_asof")
 def q_rate_asof(spark, sf):
     days = P.calendar(X.period(spark, sf))
