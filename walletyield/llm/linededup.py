@@ -11,9 +11,10 @@ lines always stay. The steps:
   one stands whole in the other, shifted by less than its rank from its side: so a line is
   indexed by its segments and probes with the substrings at the shifts that are possible,
   also in the neighbouring class if its length is within the threshold of the border.
-* Only keys that several distinct lines share matter. Their lines get a 64-bit sketch (the
-  parity of their characters by hash), which differs by two bits an edit at most, so the
-  join of index and probes drops most pairs that merely share a segment.
+* Only keys that several distinct lines share matter. Their lines get two 64-bit sketches, the
+  parities of their characters and of their neighbouring characters by hash. An edit changes
+  two bits of the first and four of the second at most, so the join of index and probes
+  drops most pairs that merely share a segment.
 * What is left is verified by the banded bit-parallel edit distance: a band of
   2 * threshold + 1 cells of the table lives in the bits of one number, moved on by a few
   bit operations for each character.
@@ -96,14 +97,18 @@ def near_lines(lines: DataFrame, docs_lines: DataFrame, threshold: int) -> DataF
     # rows read again only for lines that share a key
     texts = (present(docs_lines.withColumn("h", F.xxhash64("line")), entries.select("h").distinct(), "h", 1 << 20)
              .groupBy("line").agg(F.min("place").alias("place")))
-    sketch = F.expr("aggregate(regexp_extract_all(line, '(?s).', 0), 0L, (s, c) -> s ^ shiftleft(1L, pmod(hash(c), 64)))")
-    texts = stored(texts.select(F.xxhash64("line").alias("h"), "place", "line", F.length("line").alias("len"), sketch.alias("sketch")), "line-texts")
-    full = entries.join(texts.select("h", "place", "len", "sketch"), "h")
-    probes = full.select("key", F.col("place").alias("other"), F.col("len").alias("other_len"), F.col("sketch").alias("other_sketch"))
+    letters = "aggregate(chars, 0L, (s, c) -> s ^ shiftleft(1L, pmod(hash(c), 64)))"
+    twos = "aggregate(sequence(0, size(chars) - 2), 0L, (s, i) -> s ^ shiftleft(1L, pmod(hash(get(chars, i), get(chars, i + 1)), 64)))"
+    texts = stored(texts.withColumn("chars", F.expr("regexp_extract_all(line, '(?s).', 0)"))
+                   .select(F.xxhash64("line").alias("h"), "place", "line", F.length("line").alias("len"),
+                           F.expr(letters).alias("letters"), F.expr(twos).alias("twos")), "line-texts")
+    full = entries.join(texts.select("h", "place", "len", "letters", "twos"), "h")
+    probes = full.select("key", *(F.col(c).alias(f"other_{c}") for c in ("place", "len", "letters", "twos")))
     pairs = (full.where("indexed").join(probes, "key")
-             .where((F.col("place") != F.col("other")) & (F.abs(F.col("len") - F.col("other_len")) <= threshold)
-                    & (F.bit_count(F.col("sketch").bitwiseXOR(F.col("other_sketch"))) <= 2 * threshold))
-             .select(F.least("place", "other").alias("early"), F.greatest("place", "other").alias("late")).distinct())
+             .where((F.col("place") != F.col("other_place")) & (F.abs(F.col("len") - F.col("other_len")) <= threshold)
+                    & (F.bit_count(F.col("letters").bitwiseXOR(F.col("other_letters"))) <= 2 * threshold)
+                    & (F.bit_count(F.col("twos").bitwiseXOR(F.col("other_twos"))) <= 4 * threshold))
+             .select(F.least("place", "other_place").alias("early"), F.greatest("place", "other_place").alias("late")).distinct())
     chars = texts.select("place", F.expr("regexp_extract_all(line, '(?s).', 0)").alias("chars"))
     both = (pairs.join(chars.select(F.col("place").alias("early"), F.col("chars").alias("x")), "early")
             .join(chars.select(F.col("place").alias("late"), F.col("chars").alias("y")), "late"))
@@ -124,17 +129,17 @@ def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MI
     doc = F.floor(F.col("place") / F.lit(LINES)).cast("decimal(20,0)")
     pos = (F.col("place") - F.col("doc") * F.lit(LINES).cast("decimal(10,0)")).cast("int")
     firsts = (lines.select("place").join(near, "place", "left").withColumn("doc", doc).withColumn("pos", pos)
-              .groupBy("doc").agg(F.collect_list(F.when(F.col("near").isNull(), F.col("pos"))).alias("_kept"),
+              .groupBy(F.col("doc").alias("_place_doc")).agg(F.collect_list(F.when(F.col("near").isNull(), F.col("pos"))).alias("_kept"),
                                   F.count("near").cast("int").alias("n_near")))
     cut = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
     rows = docs.drop("n_lines", "removed", "n_near").withColumns({
         "n_lines": F.size(cut), "_doc": F.col(id_col).cast("decimal(20,0)"),
         "_long": F.when(F.col(id_col).isNotNull(), F.filter(F.transform(cut, lambda x, i: F.when(F.length(x) >= min_chars, i)), lambda i: i.isNotNull()))})
     none = F.array().cast("array<int>")
-    joined = (rows.join(firsts, F.col("_doc") == F.col("doc"), "left")
+    joined = (rows.join(firsts, F.col("_doc") == F.col("_place_doc"), "left")
               .withColumn("removed", F.sort_array(F.array_except(F.coalesce("_long", none), F.coalesce("_kept", none)))))
     left = F.array_except(F.sequence(F.lit(0), F.col("n_lines") - 1), "removed")
     text = F.when(F.size("removed") == 0, F.col(text_col)).otherwise(
         F.array_join(F.transform(left, lambda i: F.get(cut, i)), "\n"))
     return (joined.withColumn(text_col, text).withColumn("n_near", F.coalesce("n_near", F.lit(0)))
-            .drop("_doc", "_long", "_kept", "doc"))
+            .drop("_doc", "_long", "_kept", "_place_doc"))
