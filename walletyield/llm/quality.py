@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 
-from walletyield.llm.textfeat import Isotonic, TokenRows, labelled_sample, sums
+from walletyield.llm.textfeat import Isotonic, TokenRows, labelled_sample, sums, token_sums
 
 SAMPLE_ROWS = 8_000
 SAMPLE_LINES = 5_000
@@ -45,7 +45,7 @@ def own_features(lines: pa.Array, rows: TokenRows) -> np.ndarray:
     codes, matrix, at = rows(lines)
     count = (at[1:] - at[:-1]).astype(float)
     n = np.maximum(count, 1.0)
-    total = sums(matrix[codes], at)
+    total = token_sums(codes, matrix, at)
     line = np.repeat(np.arange(len(lines)), at[1:] - at[:-1])
     again = np.zeros(len(codes))
     if len(codes) > 1:
@@ -55,7 +55,7 @@ def own_features(lines: pa.Array, rows: TokenRows) -> np.ndarray:
     return np.column_stack([
         np.log1p(count) / 4, count == 0, count < 4, total[:, 0] / n / 8, total[:, 1] / chars, total[:, 2] / chars,
         total[:, 3] / n, total[:, 4] / n, total[:, 5] / n, total[:, 6] / n, total[:, 7] / n, total[:, 8] / n, total[:, 9] / n,
-        sums(again[:, None], at)[:, 0] / n, distinct / n, (distinct / n < 0.5) & (count > 8), total[:, 3] / n > 0.5,
+        sums(again, at) / n, distinct / n, (distinct / n < 0.5) & (count > 8), total[:, 3] / n > 0.5,
         total[:, 4] / n > 0.3, total[:, 5] / n > 0.25])
 
 
@@ -143,8 +143,7 @@ class Field:
 
 
 def document_scores(good: np.ndarray, weight: np.ndarray, at: np.ndarray) -> np.ndarray:
-    s = sums(np.column_stack([good * weight, weight]), at)
-    return s[:, 0] / s[:, 1]
+    return sums(good * weight, at) / sums(weight, at)
 
 
 def logit(p: np.ndarray) -> np.ndarray:

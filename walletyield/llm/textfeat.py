@@ -18,14 +18,14 @@ from pyspark.sql import functions as F
 from walletyield.llm.bpe import slices
 from walletyield.llm.common import stored
 
-CACHE_TOKENS = 300_000
+CACHE_TOKENS = 150_000
 
 
 class TokenRows:
     """A row of numbers for each token, remembered for tokens met before."""
 
     def __init__(self, row: Callable[[str], tuple[float, ...]]):
-        self.row, self.known, self.empty = row, {}, row("")
+        self.row, self.known, self.empty = row, {}, np.array(row(""), np.float64).tobytes()
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Code of every token, the matrix of the distinct tokens, and where each text begins."""
@@ -43,17 +43,22 @@ class TokenRows:
         known, row = self.known, self.row
         for t in names:
             if t not in known:
-                known[t] = row(t)
-        matrix = np.array([known[t] for t in names] or [self.empty], np.float64)
+                known[t] = np.array(row(t), np.float64).tobytes()
+        matrix = np.frombuffer(b"".join([known[t] for t in names]) or self.empty).reshape(-1, len(self.empty) // 8)
         return flat.indices.to_numpy().astype(np.int64), matrix, at
 
 
 def sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Sums of rows between neighbouring positions."""
-    running = np.concatenate([np.zeros((1, values.shape[1])), np.cumsum(values, axis=0)])
+    """Sums of a column between neighbouring positions."""
+    running = np.concatenate([[0.0], np.cumsum(values)])
     return running[at[1:]] - running[at[:-1]]
 
 
+def token_sums(codes: np.ndarray, matrix: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums of the tokens' rows over each text, one column at a time to hold memory down."""
+    return np.column_stack([sums(column[codes], at) for column in np.ascontiguousarray(matrix.T)])
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learnable, rows: int) -> DataFrame:
     """At most ``rows`` documents to learn from: doc_id, text, y, h (a hash that orders them).
 
@@ -82,7 +87,7 @@ def scored(docs: DataFrame, model, score: Callable, name: str = "score", text_co
         of = score(shared.value)
         for batch in batches:
             texts = pa.array(batch, pa.string())
-            yield pd.Series(np.concatenate([of(texts.slice(a, b - a)) for a, b in slices(texts, 4_000_000)] or [np.zeros(0)]))
+            yield pd.Series(np.concatenate([of(texts.slice(a, b - a)) for a, b in slices(texts, 3_000_000)] or [np.zeros(0)]))
 
     return docs.withColumn(name, run(F.coalesce(F.col(text_col), F.lit(""))))
 

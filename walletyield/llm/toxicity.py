@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from walletyield.llm.textfeat import Isotonic, TokenRows, labelled_sample, sums
+from walletyield.llm.textfeat import Isotonic, TokenRows, labelled_sample, token_sums
 
 SAMPLE_ROWS = 12_000
 LEXICON_SIZE = 600
@@ -79,16 +79,16 @@ def token_row(lexicon: dict[str, float]):
 
 def document_features(texts: pa.Array, rows: TokenRows) -> np.ndarray:
     codes, matrix, at = rows(texts)
-    own = matrix[codes]
-    total = sums(own, at)
+    total = token_sums(codes, matrix, at)
+    weights, hit, second = (matrix[:, c][codes] for c in (0, 1, 2))
     n = np.maximum(at[1:] - at[:-1], 1.0)
-    weight = np.concatenate([own[:, 0], [0.0]])
+    weight = np.concatenate([weights, [0.0]])
     strongest = np.maximum.reduceat(weight, np.minimum(at[:-1], len(weight) - 1)) if len(texts) else np.zeros(0)
     strongest = np.where(at[1:] > at[:-1], strongest, 0.0)
     # hits with a second-person word at most NEAR_WORDS away in the same document
-    hits = np.flatnonzero(own[:, 1] > 0)
+    hits = np.flatnonzero(hit > 0)
     doc = np.searchsorted(at, hits, "right") - 1
-    you = np.concatenate([[0.0], np.cumsum(own[:, 2])])
+    you = np.concatenate([[0.0], np.cumsum(second)])
     near = you[np.minimum(hits + NEAR_WORDS + 1, at[doc + 1])] > you[np.maximum(hits - NEAR_WORDS, at[doc])]
     near = np.bincount(doc[near], minlength=len(texts)).astype(float)
     return np.column_stack([
@@ -101,16 +101,22 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON_SIZE) -> dict[str, floa
     """Terms by log-odds of standing in a toxic document; counted by task, then by term."""
     def count(batches):
         found: Counter = Counter()
+
+        def rows():
+            names, ys = zip(*found)
+            n, y = np.fromiter(found.values(), np.int64), np.array(ys) > 0
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.where(y, n, 0)), pa.array(np.where(y, 0, n))],
+                                              names=["term", "bad", "good"])
+
         for batch in batches:
-            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for t in {t for w in {bare(x) for x in text.split()} if w for t in terms(w)}:
+            for text, y in zip(batch.column(0), batch.column(1).to_pylist()):
+                for t in {t for w in {bare(x) for x in text.as_py().split()} if w for t in terms(w)}:
                     found[t, y] += 1
+                if len(found) > 100_000:
+                    yield rows()
         if found:
-            names, ys = zip(*found)
-            n = np.fromiter(found.values(), np.int64)
-            y = np.array(ys) > 0
-            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.where(y, n, 0)), pa.array(np.where(y, 0, n))],
-                                             names=["term", "bad", "good"])
+            yield rows()
 
     n = {r.y > 0: r["count"] for r in sample.groupBy((F.col("y") > 0).cast("int").alias("y")).count().collect()}
     bad, good = n.get(True, 0), n.get(False, 0)
