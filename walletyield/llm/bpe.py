@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-CACHE_CHUNKS = 250_000
-CACHE_WORDS = 800_000
+CACHE_CHUNKS = 200_000
+CACHE_WORDS = 500_000
 SPACE = regex.compile(r"\p{White_Space}+")
 #: From here on scripts differ between Unicode versions: the library's own normaliser and
 #: splitter cut a chunk that holds such a character.
@@ -119,7 +119,7 @@ class WordBpe:
 
     def follows(self, a: str, b: str) -> bool:
         if (known := self.pairs.get((a, b))) is None:
-            if len(self.pairs) > 500_000:
+            if len(self.pairs) > 250_000:
                 self.pairs.clear()
             known = self.pairs[a, b] = self._apart(a, b, len(self.rank))
         return known
