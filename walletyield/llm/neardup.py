@@ -39,6 +39,8 @@ WORDS = 5
 LEAST = 0.8
 BANDS = 25
 ROWS = 5
+#: Bytes of text that a task turns into shingles at a time.
+SLICE_BYTES = 3_000_000
 EDGES = ".,;:!?\"'()[]{}<>|%&#*$-_/\\~`^+=…«»“”‘’¿¡"
 
 
@@ -140,7 +142,7 @@ def describe(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
     def run(batches):
         words = Words()
         for batch in batches:
-            for lo, hi in slices(batch.column(1)):
+            for lo, hi in slices(batch.column(1), SLICE_BYTES):
                 sets = [shingles(w) for w in words(batch.column(1).slice(lo, hi - lo))]
                 values = band_values(signatures(sets, bands * rows), bands, rows)
                 digest = [hashlib.blake2b(s.tobytes() + n.tobytes(), digest_size=16).digest() if len(s) else None for s, n in sets]
@@ -167,13 +169,13 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
         words, known = Words(), {}
         for batch in batches:
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in slices(batch.column(3)):
+            for lo, hi in slices(batch.column(3), SLICE_BYTES):
                 new = [i for i in dict.fromkeys(range(lo, hi)) if a[i] not in known]
                 if len(known) > 200:
                     known.clear()
                     new = list(range(lo, hi))
                 new = list({a[i]: i for i in new}.values())
-                for s, e in slices(batch.column(2).take(pa.array(new, pa.int64()))):
+                for s, e in slices(batch.column(2).take(pa.array(new, pa.int64())), SLICE_BYTES):
                     for i, w in zip(new[s:e], words(batch.column(2).take(pa.array(new[s:e], pa.int64())))):
                         known[a[i]] = shingles(w)
                 own = [shingles(w) for w in words(batch.column(3).slice(lo, hi - lo))]
