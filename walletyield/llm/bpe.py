@@ -182,8 +182,10 @@ class WordBpe:
                         if known or known is None and follows(before, tail):
                             break
                     k -= 1
+                    if k < 1:
+                        break
                 last.append(tail)
-                size.append(k)
+                size.append(max(k, 0))
                 head.append(reach)
             path = name[:n]
             k = min((head[n - 1] if n else 0) + 1, n + 1)
@@ -192,6 +194,12 @@ class WordBpe:
                 if tail is not None and (k > n or follows(last[n - k], tail)):
                     break
                 k -= 1
+                if k < 1:
+                    break
+            if k < 1 or 0 in size:  # no token fits: the library's merges decide
+                out[names[name]] = self.library.encode(names[name], add_special_tokens=False).tokens
+                path = ""
+                continue
             tokens, d = [tail], n - k
             while d >= 0:
                 tokens.append(last[d])
