@@ -68,6 +68,23 @@ def test_vector_dedup(spark):
     assert near_duplicates(df.limit(0), 0.93).collect() == []
 
 
+def test_vector_dedup_of_one_large_group(spark):
+    rng = np.random.default_rng(2)
+    n, size, dim = 9000, 3000, 64
+    v = rng.normal(size=(n, dim))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    v[:size] = 0.98**0.5 * v[-1] + 0.02**0.5 * v[:size]  # a third of all within a cosine of about 0.98
+    v = v.astype(np.float32)
+    df = spark.createDataFrame([(i, x, 0, "x", 1) for i, x in enumerate(v.tolist())], SCHEMA).repartition(4)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_duplicates(df, 0.93).collect()}
+    unit = v.astype(float) / np.linalg.norm(v.astype(float), axis=1)[:, None]
+    want = (unit @ unit.T >= 0.93).sum(1) - 1
+    assert want.sum() > size * (size - 1) * 0.99 and len(got) == n
+    assert all(got[i][0] <= want[i] for i in range(n))
+    assert sum(x for x, _ in got.values()) >= 0.999 * want.sum()
+    assert all(got[i][1] == 0 for i in range(size))
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 101), (103, 102), (101, 102), (7, 7)] + [(500, 500 + i) for i in range(1, 50)]
     random.Random(3).shuffle(chain)

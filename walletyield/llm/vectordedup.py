@@ -14,6 +14,8 @@ stay in the result. Vectors of unequal dimensions don't link. vec_id is taken as
 that repeat one are counted as members of their class, and rows without an id are dropped.
 Extra columns are dropped; an empty table gives no rows. The pivots are at most
 ``MOST_PIVOTS``, about the square root of the number of classes, and every vector is indexed.
+No two pivots are closer than a cosine of ``APART``: several in one tight group would be
+ranked by noise, and its members would share few of their nearest.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from walletyield.llm.common import stored, usable_vectors
 from walletyield.llm.components import components
 
 MOST_PIVOTS = 2048
+APART = 0.85
 NEAREST = 12
 SHARED = 2
 BLOCK_ROWS = 1500
@@ -40,13 +43,26 @@ def _unit(column, dim: int) -> np.ndarray:
     return x / np.maximum(np.sqrt((x**2).sum(1)), 1e-300)[:, None]
 
 
+def apart(units: np.ndarray, most: int) -> np.ndarray:
+    """Up to ``most`` of the unit vectors in their order, each less than ``APART`` close to those before it."""
+    kept = np.empty((min(most, len(units)), units.shape[1]))
+    n = 0
+    for u in units:
+        if n == len(kept):
+            break
+        if not n or (kept[:n] @ u).max() < APART:
+            kept[n] = u
+            n += 1
+    return kept[:n]
+
+
 def pivots(classes: DataFrame, n: int) -> dict[int, np.ndarray]:
-    """Pivots by dimension: the representatives with the smallest hashes, a bounded sample."""
-    got = classes.orderBy(F.xxhash64("rep", F.lit(3)), "rep").select("v").limit(n).collect()
+    """Pivots by dimension: of the 2n representatives with the smallest hashes, up to n that stand apart."""
+    got = classes.orderBy(F.xxhash64("rep", F.lit(3)), "rep").select("v").limit(2 * n).collect()
     by: dict[int, list] = {}
     for r in got:
         by.setdefault(len(r.v), []).append(r.v)
-    return {d: (m := np.array(v, np.float64)) / np.sqrt((m**2).sum(1))[:, None] for d, v in by.items()}
+    return {d: apart((m := np.array(v, np.float64)) / np.sqrt((m**2).sum(1))[:, None], n) for d, v in by.items()}
 
 
 def describe(classes: DataFrame, of: dict[int, np.ndarray], nearest: int = NEAREST) -> DataFrame:
