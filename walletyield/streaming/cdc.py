@@ -7,7 +7,9 @@
 * ``balance_upsert_batch``: ``foreachBatch`` body that extends the running
   balances with each micro-batch. Every batch writes to a directory named by
   its batch id (a replay overwrites the same directory), and the balance
-  state is versioned by batch id, so a restarted query is idempotent.
+  state is versioned by batch id, so a restarted query is idempotent. Users
+  with late movements are rebuilt from the stored batches; ``read_balances``
+  reads the history that results.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from walletyield.config import CDC, MONEY
+from walletyield.config import CDC, MONEY, WALLET_HISTORY
 from walletyield.operators.ledger import extend_history, ledger_state, wallet_history
 
 
@@ -49,8 +51,8 @@ def stream_daily_movements(stream: DataFrame, watermark: str = "1 day") -> DataF
                     "movements", F.col("net_change").cast(MONEY).alias("net_change")))
 
 
-def _latest_version(path: str, spark: SparkSession | None = None, below: int | None = None) -> str | None:
-    """Newest ``v=<batch>`` directory that holds a complete write (_SUCCESS).
+def _versions(path: str, spark: SparkSession | None = None, below: int | None = None) -> list[int]:
+    """Batches whose ``v=<batch>`` directory holds a complete write (_SUCCESS), oldest first.
 
     ``below`` leaves out that batch and later ones: a replayed batch must start
     from what was there before it, not from what it wrote itself.
@@ -63,14 +65,42 @@ def _latest_version(path: str, spark: SparkSession | None = None, below: int | N
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(p):
-        return None
+        return []
     done = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
             done.append(int(name[2:]))
-    done = [v for v in done if below is None or v < below]
-    return f"{path.rstrip('/')}/v={max(done)}" if done else None
+    return sorted(v for v in done if below is None or v < below)
+
+
+def _latest_version(path: str, spark: SparkSession | None = None, below: int | None = None) -> str | None:
+    """The newest of the complete versions below ``path``."""
+    done = _versions(path, spark, below)
+    return f"{path.rstrip('/')}/v={done[-1]}" if done else None
+
+
+def read_balances(spark: SparkSession, state_path: str, out_path: str, late_path: str,
+                  below: int | None = None) -> DataFrame:
+    """The history of the complete batches (those before ``below``).
+
+    A batch with late movements of a user holds the user's whole history up to
+    it, which replaces the rows of the batches before.
+    """
+    batches = _versions(state_path, spark, below)
+    if not batches:
+        return spark.createDataFrame([], WALLET_HISTORY)
+    rows = spark.read.parquet(*(f"{out_path}/batch={n}" for n in batches))
+    rows = rows.withColumn("_batch", _batch_of())
+    late = spark.read.schema(CDC).parquet(*(f"{late_path}/batch={n}" for n in batches))
+    rebuilt = late.select("user_id", _batch_of().alias("_since")).groupBy("user_id").agg(F.max("_since").alias("_since"))
+    return (rows.join(rebuilt, "user_id", "left").where(F.col("_since").isNull() | (F.col("_batch") >= F.col("_since")))
+            .select("seq", "user_id", "ts", "amount_change", "balance"))
+
+
+def _batch_of():
+    """The batch id in the path of a row's file."""
+    return F.regexp_extract(F.input_file_name(), r"/batch=(\d+)/[^/]*$", 1).cast("long")
 
 
 def balance_upsert_batch(batch: DataFrame, batch_id: int, state_path: str, out_path: str,
@@ -78,20 +108,31 @@ def balance_upsert_batch(batch: DataFrame, batch_id: int, state_path: str, out_p
     """Extend the running balances with one micro-batch (foreachBatch body).
 
     Uses the batch operator :func:`extend_history` against the newest state
-    version before this batch; rows older than a user's stored newest movement go to
-    ``late_path``. Every output is written under the batch id, so a replayed
-    batch overwrites its own files.
+    version before this batch. Rows older than a user's stored newest movement
+    are recorded in ``late_path``, and their users are rebuilt from the stored
+    batches, so the order of arrival doesn't matter; of a late user a movement
+    whose ``seq`` is stored already is a replay and isn't counted again. Every
+    output is written under the batch id, so a replayed batch overwrites its own files.
     """
     spark = batch.sparkSession
     prev = _latest_version(state_path, spark, batch_id)
     inc = batch.select("seq", "user_id", "ts", "amount_change")
+    late_dir = f"{late_path}/batch={batch_id}"
     if prev:
         prior = spark.read.parquet(prev)
-        hist, late = extend_history(prior, inc)
-        late.write.mode("overwrite").parquet(f"{late_path}/batch={batch_id}")
+        _, late = extend_history(prior, inc)
+        late.write.mode("overwrite").parquet(late_dir)
+        late_users = spark.read.schema(CDC).parquet(late_dir).select("user_id").distinct()
+        hist, _ = extend_history(prior, inc.join(late_users, "user_id", "left_anti").select(inc.columns))
+        if not late_users.isEmpty():
+            stored = (read_balances(spark, state_path, out_path, late_path, batch_id).select(inc.columns)
+                      .join(late_users, "user_id", "left_semi"))
+            new = inc.join(late_users, "user_id", "left_semi").join(stored.select("user_id", "seq"), ["user_id", "seq"], "left_anti")
+            hist = hist.unionByName(wallet_history(stored.unionByName(new.select(inc.columns))))
     else:
         prior = None
         hist = wallet_history(inc)
+        inc.limit(0).write.mode("overwrite").parquet(late_dir)
     hist.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
     newest = ledger_state(spark.read.parquet(f"{out_path}/batch={batch_id}"))
     if prior is not None:
@@ -152,5 +193,5 @@ def latest(spark: SparkSession, table_path: str) -> DataFrame:
     return spark.read.parquet(v)
 
 
-__all__ = ["read_cdc_stream", "stream_cdc_dedup", "stream_daily_movements", "balance_upsert_batch",
+__all__ = ["read_cdc_stream", "stream_cdc_dedup", "stream_daily_movements", "balance_upsert_batch", "read_balances",
            "run_available_now", "window_upsert_batch", "latest", "write_in_time_slices"]

@@ -56,10 +56,12 @@ def q_stream_daily_movements(spark, sf):
 @register("stream_balance_upsert", """
 SELECT seq, user_id, ts, amount_change, balance FROM history""")
 def q_stream_balance_upsert(spark, sf):
+    # every tenth movement arrives after all others, out of time order
     base = _run_dir(spark, "balance")
-    src = _write_input(spark, sf, base)
-    stream = S.read_cdc_stream(spark, src, max_files_per_trigger=8)
+    c, src = X.cdc(spark, sf), f"{base}/in"
     out, state, late = f"{base}/history", f"{base}/state", f"{base}/late"
-    S.run_available_now(stream, f"{base}/ckpt",
-                        foreach_batch=lambda df, i: S.balance_upsert_batch(df, i, state, out, late))
-    return spark.read.parquet(out).select("seq", "user_id", "ts", "amount_change", "balance")
+    for part, slices in ((c.where(F.col("seq") % 10 != 0), 4), (c.where(F.col("seq") % 10 == 0), 1)):
+        S.write_in_time_slices(part, src, slices)
+        S.run_available_now(S.read_cdc_stream(spark, src, max_files_per_trigger=8), f"{base}/ckpt",
+                            foreach_batch=lambda df, i: S.balance_upsert_batch(df, i, state, out, late))
+    return S.read_balances(spark, state, out, late)
