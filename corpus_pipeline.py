@@ -32,7 +32,7 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document that loses all its text is gone; n_chars follows the text."""
-    cleaned = linededup.dedup_lines(docs).where((F.size("removed") == 0) | (F.trim(F.translate("text", "\n\t\r", "   ")) != ""))
+    cleaned = linededup.dedup_lines(docs, equal_chars=1).where((F.size("removed") == 0) | (F.trim(F.translate("text", "\n\t\r", "   ")) != ""))
     changed = {"n_chars": F.when(F.size("removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))}
     return cleaned.withColumns(changed if "n_chars" in docs.columns else {}).select(docs.columns)
 

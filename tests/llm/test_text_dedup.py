@@ -86,6 +86,25 @@ def test_lines(spark):
     assert linededup.dedup_lines(df.limit(0)).collect() == []
 
 
+def test_short_equal_lines(spark):
+    long = "a line of more than twenty-four characters"
+    docs = [(1, f"Menu\n\n{long}\n}}"), (2, "Menu\n \nmenu\n}\nMenu"), (3, f"\n \nMenuu\n{long}x\n{long}"), (None, "Menu")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.text, r.removed, r.n_near) for r in linededup.dedup_lines(df, equal_chars=1).collect()}
+    assert got == {1: (docs[0][1], [], 0), 2: (" \nmenu", [0, 3, 4], 0), 3: ("\n \nMenuu", [3, 4], 1), None: ("Menu", [], 0)}
+    rng = random.Random(5)
+    docs = line_documents(rng)
+    rows = linededup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), equal_chars=1).collect()
+    first, floor = {}, cleaned_lines(docs, linededup.THRESHOLD, linededup.MIN_CHARS)
+    for d, t in sorted(docs):
+        for i, line in enumerate((t or "").split("\n")):
+            first.setdefault(line, (d, i))
+    for r in rows:
+        short = [i for i, x in enumerate((dict(docs)[r.doc_id] or "").split("\n"))
+                 if x.strip() and len(x) < linededup.MIN_CHARS and first[x] != (r.doc_id, i)]
+        assert (r.removed, r.n_near) == (sorted(floor[r.doc_id][0] + short), floor[r.doc_id][1])
+
+
 def test_bit_parallel_distance(spark):
     rng = random.Random(8)
     for t in (1, 2, 3):

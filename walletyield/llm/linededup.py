@@ -1,8 +1,9 @@
 """Line dedup by a segment-partition edit join (native DataFrame and SQL functions only).
 
 A line of at least ``min_chars`` characters goes if the same line, or one within
-``threshold`` edits, stands earlier: in a document with a smaller doc_id, or further up. Other
-lines always stay. The steps:
+``threshold`` edits, stands earlier: in a document with a smaller doc_id, or further up. A
+shorter line goes if it has at least ``equal_chars`` characters, is not blank and the same line
+stands earlier; the edit join leaves it out. Other lines always stay. The steps:
 
 * Distinct lines, each with its first place.
 * A line's length falls into a class of ``CLASS_WIDTH`` lengths; the class has a fixed partition
@@ -39,12 +40,18 @@ CLASS_WIDTH = 16
 LINES = 1 << 32
 
 
-def places(docs: DataFrame, min_chars: int, id_col: str, text_col: str) -> DataFrame:
+def counts(line: Column, min_chars: int, equal_chars: int) -> Column:
+    """Whether a line can go or make others go."""
+    length = F.length(line)
+    return (length >= min_chars) | ((length >= equal_chars) & line.rlike("\\S"))
+
+
+def places(docs: DataFrame, min_chars: int, equal_chars: int, id_col: str, text_col: str) -> DataFrame:
     """place, line of every line that can go or make others go."""
     text = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
     lines = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("decimal(20,0)").alias("doc"), F.posexplode(text).alias("pos", "line"))
     place = (F.col("doc") * F.lit(LINES).cast("decimal(10,0)") + F.col("pos")).cast("decimal(32,0)")
-    return lines.where(F.length("line") >= min_chars).select(place.alias("place"), "line")
+    return lines.where(counts(F.col("line"), min_chars, equal_chars)).select(place.alias("place"), "line")
 
 
 def segment_keys(threshold: int) -> Column:
@@ -116,16 +123,21 @@ def near_lines(lines: DataFrame, docs_lines: DataFrame, threshold: int) -> DataF
 
 
 def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
+                text_col: str = "text", equal_chars: int | None = None) -> DataFrame:
     """The documents without their repeated lines, and n_lines, removed (line numbers), n_near
-    (how many of these have no equal line before them, only a near one)."""
+    (how many of these have no equal line before them, only a near one).
+
+    ``equal_chars`` is the floor for equal lines, ``min_chars`` if not given; 1 takes every
+    line that is not blank.
+    """
     if min_chars < CLASS_WIDTH + threshold:
         raise ValueError(f"min_chars must be at least {CLASS_WIDTH + threshold}")
-    every = places(docs, min_chars, id_col, text_col)
+    equal_chars = min_chars if equal_chars is None else equal_chars
+    every = places(docs, min_chars, equal_chars, id_col, text_col)
     first = (every.groupBy("line").agg(F.min("place").alias("place")).withColumn("len", F.length("line"))
-             .select("place", F.xxhash64("line").alias("h"), segment_keys(threshold).alias("keys")))
+             .select("place", F.xxhash64("line").alias("h"), F.when(F.col("len") >= min_chars, segment_keys(threshold)).alias("keys")))
     lines = stored(first, "lines")
-    near = near_lines(lines, every, threshold).withColumn("near", F.lit(1))
+    near = near_lines(lines, every.where(F.length("line") >= min_chars), threshold).withColumn("near", F.lit(1))
     doc = F.floor(F.col("place") / F.lit(LINES)).cast("decimal(20,0)")
     pos = (F.col("place") - F.col("doc") * F.lit(LINES).cast("decimal(10,0)")).cast("int")
     firsts = (lines.select("place").join(near, "place", "left").withColumn("doc", doc).withColumn("pos", pos)
@@ -134,7 +146,7 @@ def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MI
     cut = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
     rows = docs.drop("n_lines", "removed", "n_near").withColumns({
         "n_lines": F.size(cut), "_doc": F.col(id_col).cast("decimal(20,0)"),
-        "_long": F.when(F.col(id_col).isNotNull(), F.filter(F.transform(cut, lambda x, i: F.when(F.length(x) >= min_chars, i)), lambda i: i.isNotNull()))})
+        "_long": F.when(F.col(id_col).isNotNull(), F.filter(F.transform(cut, lambda x, i: F.when(counts(x, min_chars, equal_chars), i)), lambda i: i.isNotNull()))})
     none = F.array().cast("array<int>")
     joined = (rows.join(firsts, F.col("_doc") == F.col("_place_doc"), "left")
               .withColumn("removed", F.sort_array(F.array_except(F.coalesce("_long", none), F.coalesce("_kept", none)))))

@@ -102,7 +102,7 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from walletyield.llm import linededup
-    cleaned = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    cleaned = linededup.dedup_lines(table(spark, sf_dir, "documents"), equal_chars=1)
     return cleaned.select("doc_id", "n_lines", "removed", "n_near")
 
 
