@@ -16,6 +16,7 @@ REGISTRY: dict[str, Builder] = {}
 ORACLE: dict[str, str] = {}
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def register(fn: Builder) -> Builder:
@@ -137,6 +138,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (crc_of_id() % 4 == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@register
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from walletyield.llm.tokencount import count_tokens
+    return count_tokens(table(spark, sf_dir, "documents"), PIECE_VOCABULARY, 4096)
+
+
 def queries() -> dict[str, Builder]:
     return dict(REGISTRY)
 
