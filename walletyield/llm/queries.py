@@ -144,6 +144,32 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), PIECE_VOCABULARY, 4096)
 
 
+@register
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from walletyield.llm import ranked
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
+
+
+ORACLE["op13_ranked_search"] = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+           FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+d AS (SELECT row_number() OVER () AS row, doc_id, terms, len(terms) AS n FROM t WHERE len(terms) > 0),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM d),
+p AS (SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, n, unnest(terms) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, total GROUP BY term),
+i AS (SELECT item_id, term, count(*) AS times
+      FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark WHERE item_id IS NOT NULL) GROUP BY ALL),
+s AS (SELECT item_id, row, doc_id,
+             sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total.terms))))::BIGINT AS score
+      FROM i JOIN p USING (term) JOIN w USING (term), total GROUP BY ALL),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+
 def queries() -> dict[str, Builder]:
     return dict(REGISTRY)
 
