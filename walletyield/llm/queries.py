@@ -138,6 +138,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (crc_of_id() % 4 == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@register
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from walletyield.llm import spelling
+    return spelling.group(table(spark, sf_dir, "documents"))
+
+
 @register
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from walletyield.llm.tokencount import count_tokens
