@@ -10,6 +10,7 @@ from helpers import F
 from walletyield.config import DAILY_PAYOUTS, TABLE_SCHEMAS, WALLET_HISTORY
 from walletyield.operators import sinks
 from walletyield.plans import fixtures as X
+from walletyield.plans.store import read_history, read_payouts
 from walletyield.sources import read_cdc_csv, read_log_text, read_rate_series, read_table
 
 SF = "/root/testdata/sf0.001"
@@ -70,13 +71,11 @@ def test_pipeline_main_idempotent(spark, tmp_out):
         .write.option("header", True).csv(f"{tmp_out}/rates")
     cfg = PipelineConfig(raw_cdc_path=f"{tmp_out}/raw", rates_path=f"{tmp_out}/rates",
                          out_dir=f"{tmp_out}/tables", as_of=dt.date(2100, 1, 1), run_id=1)
-    p1 = pipeline_main(spark, cfg)
-    first = sorted(tuple(r) for r in spark.read.parquet(p1["daily_bonus_payouts"])
-                   .select("payout_date", "user_id", "calculated_amount").collect())
+    pipeline_main(spark, cfg)
+    first = sorted(tuple(r) for r in read_payouts(spark, cfg.out_dir).collect())
     cfg.run_id = 2
-    p2 = pipeline_main(spark, cfg)
-    second = sorted(tuple(r) for r in spark.read.parquet(p2["daily_bonus_payouts"])
-                    .select("payout_date", "user_id", "calculated_amount").collect())
+    pipeline_main(spark, cfg)
+    second = sorted(tuple(r) for r in read_payouts(spark, cfg.out_dir).collect())
     assert first == second and len(first) > 0
     # CSV times are whole seconds, so compare with the fixture on truncated times
     from walletyield.functions import trunc_second
@@ -140,19 +139,16 @@ def test_incremental_runs_equal_full_run(spark, tmp_out):
     X.annual_rates(spark, SF).select("rate_date", F.col("annual_rate").cast("string").alias("annual_rate")) \
         .write.option("header", True).csv(f"{tmp_out}/rates")
     as_of = dt.date(2100, 1, 1)
-    full = pipeline_main(spark, PipelineConfig(f"{tmp_out}/all", f"{tmp_out}/rates", f"{tmp_out}/full",
-                                               as_of, run_id=1))
+    pipeline_main(spark, PipelineConfig(f"{tmp_out}/all", f"{tmp_out}/rates", f"{tmp_out}/full",
+                                        as_of, run_id=1))
     inc_dir = f"{tmp_out}/inc"
     pipeline_increment(spark, PipelineConfig(f"{tmp_out}/a", f"{tmp_out}/rates", inc_dir, as_of,
                                              start=dt.date(2024, 1, 2), end=dt.date(2024, 1, 14), run_id=1))
-    p2 = pipeline_increment(spark, PipelineConfig(f"{tmp_out}/b", f"{tmp_out}/rates", inc_dir, as_of,
-                                                  start=dt.date(2024, 1, 15), end=dt.date(2024, 1, 30), run_id=2))
-    cols = ["payout_date", "user_id", "calculated_amount"]
-    want = sorted(tuple(r) for r in spark.read.parquet(full["daily_bonus_payouts"]).select(*cols).collect())
-    got = sorted(tuple(r) for r in spark.read.parquet(p2["daily_bonus_payouts"]).select(*cols).collect())
+    pipeline_increment(spark, PipelineConfig(f"{tmp_out}/b", f"{tmp_out}/rates", inc_dir, as_of,
+                                             start=dt.date(2024, 1, 15), end=dt.date(2024, 1, 30), run_id=2))
+    want = sorted(tuple(r) for r in read_payouts(spark, f"{tmp_out}/full").collect())
+    got = sorted(tuple(r) for r in read_payouts(spark, inc_dir).collect())
     assert got == want and len(got) > 0
-    hist_full = sorted(tuple(r) for r in spark.read.parquet(full["wallet_history"])
-                       .select("user_id", "ts", "balance").collect())
-    hist_inc = sorted(tuple(r) for r in spark.read.parquet(p2["wallet_history_runs"])
-                      .select("user_id", "ts", "balance").collect())
+    hist_full, hist_inc = (sorted(tuple(r) for r in read_history(spark, d).select("user_id", "ts", "balance").collect())
+                           for d in (f"{tmp_out}/full", inc_dir))
     assert hist_inc == hist_full

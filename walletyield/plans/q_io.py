@@ -12,6 +12,7 @@ from walletyield.config import WALLET_HISTORY
 from walletyield.operators import sinks as S
 from walletyield.plans import fixtures as X
 from walletyield.plans.catalog import register
+from walletyield.plans.store import read_payouts
 from walletyield.session import scratch_path
 from walletyield.sources import read_cdc_csv, read_log_text, read_rate_series, read_table
 
@@ -44,7 +45,7 @@ def q_build_history(spark, sf):
     from walletyield.plans.pipeline import build_history
     d = _dir(spark, "hist")
     S.write_cdc_csv(X.cdc(spark, sf), d)
-    hist, _q = build_history(spark, d, X.AS_OF)
+    hist, _q, _r = build_history(spark, d, X.AS_OF)
     return hist.select("user_id", "ts", "amount_change", "balance")
 
 
@@ -91,8 +92,8 @@ def q_pipeline_main(spark, sf):
         .write.option("header", True).csv(f"{d}/rates")
     cfg = PipelineConfig(raw_cdc_path=f"{d}/raw", rates_path=f"{d}/rates", out_dir=f"{d}/tables",
                          as_of=X.AS_OF, run_id=1)
-    paths = pipeline_main(spark, cfg)
-    return spark.read.parquet(paths["daily_bonus_payouts"]).select("payout_date", "user_id", "calculated_amount")
+    pipeline_main(spark, cfg)
+    return read_payouts(spark, cfg.out_dir)
 
 
 @register("pipeline_increment", "SELECT payout_date, user_id, calculated_amount FROM payouts_s")
@@ -110,6 +111,6 @@ def q_pipeline_increment(spark, sf):
     first, last = X.period(spark, sf).first()
     pipeline_increment(spark, PipelineConfig(f"{d}/a", f"{d}/rates", f"{d}/tables", X.AS_OF,
                                              start=first, end=dt.date(2024, 1, 14), run_id=1))
-    paths = pipeline_increment(spark, PipelineConfig(f"{d}/b", f"{d}/rates", f"{d}/tables", X.AS_OF,
-                                                     start=dt.date(2024, 1, 15), end=last, run_id=2))
-    return spark.read.parquet(paths["daily_bonus_payouts"]).select("payout_date", "user_id", "calculated_amount")
+    pipeline_increment(spark, PipelineConfig(f"{d}/b", f"{d}/rates", f"{d}/tables", X.AS_OF,
+                                             start=dt.date(2024, 1, 15), end=last, run_id=2))
+    return read_payouts(spark, f"{d}/tables")

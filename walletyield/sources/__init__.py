@@ -18,14 +18,13 @@ def file_order():
                     F.monotonically_increasing_id().alias("row"))
 
 
-def read_cdc_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CDC_CSV,
-                 corrupt_col: str = "_corrupt", with_order: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Header CSV read as text, then typed with ``try_cast``.
+def cdc_csv_rows(spark: SparkSession, path: str, schema: T.StructType = RAW_CDC_CSV,
+                 corrupt_col: str = "_corrupt", with_order: bool = True) -> DataFrame:
+    """Header CSV read as text, then typed with ``try_cast``; all rows, once.
 
-    Returns ``(valid, corrupt)``: rows with a cell that does not cast to the
-    declared type go to ``corrupt`` (raw cells joined in ``_corrupt``)
-    instead of entering the ledger as NULLs unnoticed. Typing after the read
-    keeps the check independent of CSV column pruning.
+    A row with a cell that does not cast to the declared type has its raw cells in
+    ``corrupt_col``. Typing after the read keeps the check independent of CSV column
+    pruning. ``with_order`` adds ``file_order``.
     """
     text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
     raw = spark.read.schema(text).option("header", True).csv(path)
@@ -43,7 +42,14 @@ def read_cdc_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CDC_
         is_bad = is_bad | b
     raw_line = F.concat_ws(",", *[F.coalesce(F.col(f.name), F.lit("")) for f in schema.fields])
     order = [file_order().alias("file_order")] if with_order else []
-    out = raw.select(*typed, F.when(is_bad, raw_line).alias(corrupt_col), *order)
+    return raw.select(*typed, F.when(is_bad, raw_line).alias(corrupt_col), *order)
+
+
+def read_cdc_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CDC_CSV,
+                 corrupt_col: str = "_corrupt", with_order: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``(valid, corrupt)``: rows with a cell that does not cast go to ``corrupt`` (raw cells
+    joined in ``_corrupt``) instead of entering the ledger as NULLs unnoticed."""
+    out = cdc_csv_rows(spark, path, schema, corrupt_col, with_order)
     return (out.where(F.col(corrupt_col).isNull()).drop(corrupt_col),
             out.where(F.col(corrupt_col).isNotNull()))
 
