@@ -95,3 +95,29 @@ def test_windows_come_close_to_capacity():
     assert fill_windows([], 4096) == [] and fill_windows([5], 8) == [[5]]
     # the best multiset, not the first that fits: 6 alone leaves 4, which 2 + 2 fills
     assert fill_windows([6, 3, 2, 2], 10)[0] == [6, 2, 2]
+
+
+def test_chunks_cut_at_once_as_one_by_one(library):
+    import pyarrow as pa
+
+    from walletyield.llm.bpe import ChunkTable, as_words
+    own = WordBpe(PATH)
+    every = [chr(c) for c in range(0x21, 0x340) if c not in (0x85, 0xA0)]
+    chunks = ["", *every, *[f"ab{c}" for c in every], *[f"{c}b" for c in every], *[f"A{c}b" for c in every], *[c for t in odd_texts(800)[1:] for c in t.split(" ")[:9]]]
+    chunks = list(dict.fromkeys(c for c in chunks if not set(c) & set(" \t\n\r\x0b\x0c")))
+    got = ChunkTable(own, as_words(own)).split(pa.array(chunks)).to_pylist()
+    assert got == [own.chunk_words(c) if c else [] for c in chunks]
+
+
+def test_forgetting_words_changes_nothing(library, monkeypatch):
+    import pyarrow as pa
+
+    from walletyield.llm import bpe
+    own = WordBpe(PATH)
+    texts = [t or "" for t in odd_texts(300)]
+    want = [b"".join(i.to_bytes(4, "little") for i in library.encode(t, add_special_tokens=False).ids) for t in texts]
+    for most in (0, 3000, 64_000_000):
+        monkeypatch.setattr(bpe, "CACHE_BYTES", most)
+        table = bpe.ChunkTable(own, bpe.as_words(own))
+        got = [bytes(x) for i in range(0, len(texts), 40) for x in table(pa.array(texts[i : i + 40], pa.string()))[0]]
+        assert got == want

@@ -11,8 +11,8 @@ state of a node follows from the states above it.
 Null texts count as empty; an empty text has no tokens, and the hashes are those of the
 empty string. Rows that repeat, and rows without an id, are encoded like any other; extra
 columns are dropped. A very long text is a slice of its own. The memory of a task is
-bounded: when its caches exceed ``CACHE_CHUNKS`` and ``CACHE_WORDS`` entries, those that the
-texts at hand do not use go, which never changes a result.
+bounded: when what it knows of words exceeds ``CACHE_BYTES``, the words that the texts at
+hand do not use go, which never changes a result.
 """
 
 from __future__ import annotations
@@ -32,14 +32,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-CACHE_CHUNKS = 200_000
-CACHE_WORDS = 500_000
+CACHE_BYTES = 64_000_000
+CACHE_PAIRS = 150_000
 SPACE = regex.compile(r"\p{White_Space}+")
 #: From here on scripts differ between Unicode versions: the library's own normaliser and
 #: splitter cut a chunk that holds such a character.
 RARE = "\u0530"
 #: Characters that are a word of their own where they follow letters and end a chunk.
-SIGNS = frozenset("0123456789!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+SIGNS = pa.array(list("0123456789!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"))
+#: Chunks that need a look of their own: characters from U+0300 on (they may combine, or lie
+#: beyond ``RARE``), one whose lower case is two, spaces and controls, and special tokens.
+ODD = r"^$|[^\x21-\x7E\x{A1}-\x{12F}\x{131}-\x{2FF}]|<\|"
 
 
 def byte_letters() -> list[str]:
@@ -70,6 +73,8 @@ class WordBpe:
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(split["pattern"]["Regex"])
+        #: The same pattern, as a group of its own, for many chunks at once.
+        self.split_all = "(" + split["pattern"]["Regex"] + ")"
         letters = byte_letters()
         self.byte_of = {c: b for b, c in enumerate(letters)}
         self.letter_of = dict(enumerate(letters))
@@ -119,7 +124,7 @@ class WordBpe:
 
     def follows(self, a: str, b: str) -> bool:
         if (known := self.pairs.get((a, b))) is None:
-            if len(self.pairs) > 250_000:
+            if len(self.pairs) > CACHE_PAIRS:
                 self.pairs.clear()
             known = self.pairs[a, b] = self._apart(a, b, len(self.rank))
         return known
@@ -137,11 +142,7 @@ class WordBpe:
             if max(chunk) >= RARE:
                 return self._library_words(chunk)
             chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
-        if (low := chunk.lower()).isalpha():
-            return [low]
-        if low[-1] in SIGNS and low[:-1].isalpha():
-            return [low[:-1], low[-1]]
-        return self.words.findall(low)
+        return self.words.findall(chunk.lower())
 
     def _library_words(self, chunk: str) -> list[str]:
         cut = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(chunk))
@@ -222,56 +223,89 @@ class WordBpe:
 class ChunkTable:
     """Chunks of texts replaced by what ``render`` makes of their tokens.
 
-    ``render`` turns the tokens of a chunk into a tuple of bytes; the bytes of a text are
-    those of its chunks in order.
+    ``render`` turns the tokens of a word into a tuple of bytes; the bytes of a text are
+    those of its words in order. What is known of words is held as Arrow arrays, a few
+    bytes for each, and looked up for all words of a slice of texts at once.
     """
 
     def __init__(self, bpe: WordBpe, render: Callable[[list[str]], tuple[bytes, ...]]):
         self.bpe, self.render = bpe, render
-        self.known: dict[str, tuple[bytes, ...]] = {}
-        self.words: dict[str, tuple[bytes, ...]] = {t: render([t]) for t in bpe.special}
-
-    def learn(self, chunks: Iterable[str]) -> None:
-        bpe, words, render = self.bpe, self.words, self.render
-        fresh = {c: bpe.chunk_words(c) for c in chunks}
-        met = {w for ws in fresh.values() for w in ws}
-        if len(words) > CACHE_WORDS:
-            self.words = words = {w: x for w, x in words.items() if w in met or w in bpe.special}
-        for word, tokens in bpe.encode_words(met.difference(words)).items():
-            words[word] = render(tokens)
-        for chunk, ws in fresh.items():
-            self.known[chunk] = words[ws[0]] if len(ws) == 1 else tuple(map(b"".join, zip(*[words[w] for w in ws]))) or render([])
-
-    def __call__(self, texts: pa.Array) -> list[list[memoryview]]:
-        """For each part that ``render`` gives: the bytes of every text."""
-        gc.disable()  # it would walk the caches again and again; nothing here makes cycles
+        known = ["", *bpe.special]
+        self.words = pa.array(known, pa.string())
+        rows = [render([]), *(render([t]) for t in bpe.special)]
+        self.first = self.words, [pa.array(part, pa.binary()) for part in zip(*rows)]
+        self.words, self.parts = self.first
+
+    def learn(self, words: list[str]) -> list[pa.Array]:
+        gc.disable()  # it would walk the tables again and again; nothing here makes cycles
         try:
-            return self._replace(texts)
+            tokens, render = self.bpe.encode_words(words), self.render
+            rows = [render(tokens[w]) for w in words]
         finally:
             gc.enable()
+        return [pa.array(part, pa.binary()) for part in zip(*rows)] or [p.slice(0, 0) for p in self.parts]
+
+    def split(self, chunks: pa.Array) -> pa.ListArray:
+        """The words of each chunk: all letters, letters and one sign, what a regular
+        expression cuts for all at once, and odd chunks one by one."""
+        odd = pc.match_substring_regex(chunks, ODD)
+        kinds, lists = [np.flatnonzero(odd)], [pa.array([self.bpe.chunk_words(c) for c in chunks.filter(odd).to_pylist()], pa.list_(pa.string()))]
+
+        def take(kind: pa.Array | np.ndarray, words: pa.ListArray) -> None:
+            kinds.append(left[np.asarray(kind)])
+            lists.append(words)
+
+        left = np.flatnonzero(~np.asarray(odd))
+        low = pc.utf8_lower(chunks.take(pa.array(left)))
+        whole = np.asarray(pc.utf8_is_alpha(low))
+        plain = low.filter(pa.array(whole))
+        take(whole, pa.ListArray.from_arrays(pa.array(np.arange(len(plain) + 1), pa.int32()), plain))
+        left, low = left[~whole], low.filter(pa.array(~whole))
+        front, sign = pc.utf8_slice_codeunits(low, 0, -1), pc.utf8_slice_codeunits(low, -1)
+        ended = np.asarray(pc.and_(pc.utf8_is_alpha(front), pc.is_in(sign, SIGNS)))
+        pairs = pa.concat_arrays([front.filter(pa.array(ended)), sign.filter(pa.array(ended))])
+        n = int(ended.sum())
+        pairs = pairs.take(pa.array(np.arange(2 * n).reshape(2, n).T.reshape(-1)))
+        take(ended, pa.ListArray.from_arrays(pa.array(np.arange(0, 2 * n + 1, 2), pa.int32()), pairs))
+        spaced = pc.replace_substring_regex(low.filter(pa.array(~ended)), self.bpe.split_all, r"\1 ")
+        take(~ended, pc.split_pattern(pc.ascii_rtrim_whitespace(spaced), " "))
+        place = np.empty(len(chunks), np.int64)
+        place[np.concatenate(kinds)] = np.arange(len(chunks))
+        return pa.concat_arrays(lists).take(pa.array(place))
 
-    def _replace(self, texts: pa.Array) -> list[list[memoryview]]:
+    def __call__(self, texts: pa.Array) -> list[list[memoryview]]:
+        """For each part that ``render`` gives: the bytes of every text."""
         cut = pc.ascii_split_whitespace(texts)
         ends = cut.offsets.to_numpy()
-        flat = cut.values.slice(int(ends[0]), int(ends[-1] - ends[0])).dictionary_encode()
+        chunks = cut.values.slice(int(ends[0]), int(ends[-1] - ends[0])).dictionary_encode()
         ends = ends - ends[0]
-        names = flat.dictionary.to_pylist()
-        if len(self.known) > CACHE_CHUNKS:
-            met = set(names)
-            self.known = {c: x for c, x in self.known.items() if c in met}
-        known = self.known
-        self.learn([c for c in names if c and c not in known])
-        nothing = self.render([])
-        rows = [known[c] if c else nothing for c in names]
+        lists = self.split(chunks.dictionary)
+        met = lists.flatten().dictionary_encode()
+        at = pc.index_in(met.dictionary, self.words)
+        fresh = met.dictionary.filter(at.is_null())
+        made = self.learn(fresh.to_pylist())
+        words = pa.concat_arrays([self.words, fresh])
+        parts = [pa.concat_arrays([old, new]) for old, new in zip(self.parts, made)]
+        where = at.to_numpy(zero_copy_only=False).astype(np.float64)
+        where[np.isnan(where)] = len(self.words) + np.arange(len(fresh))
+        where = pa.array(where.astype(np.int64))
         out = []
-        for part in range(len(nothing)):
-            made = pa.array([r[part] for r in rows], pa.binary()).take(flat.indices)
+        for part in parts:
+            of_word = part.take(where).take(met.indices)
+            of_chunk = pc.binary_join(pa.ListArray.from_arrays(lists.offsets, of_word), b"")
+            made = of_chunk.take(chunks.indices)
             if not len(made):
                 out.append([memoryview(b"")] * len(texts))
                 continue
-            at = np.frombuffer(made.buffers()[1], np.int32, len(made) + 1, made.offset * 4)[ends]
+            at_ = np.frombuffer(made.buffers()[1], np.int32, len(made) + 1, made.offset * 4)[ends]
             data = memoryview(made.buffers()[2] or b"")
-            out.append([data[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())])
+            out.append([data[a:b] for a, b in zip(at_[:-1].tolist(), at_[1:].tolist())])
+        if words.nbytes + sum(p.nbytes for p in parts) <= CACHE_BYTES:
+            self.words, self.parts = words, parts
+        else:  # those that the texts at hand do not use go
+            words, parts = words.take(where), [p.take(where) for p in parts]
+            self.words = pa.concat_arrays([self.first[0], words])
+            self.parts = [pa.concat_arrays([a, b]) for a, b in zip(self.first[1], parts)]
         return out
 
 
@@ -295,7 +329,7 @@ def chunk_table(path: str, render: Callable) -> ChunkTable:
     return ChunkTable(bpe, render(bpe))
 
 
-def slices(texts: pa.Array, most: int = 12_000_000) -> Iterator[tuple[int, int]]:
+def slices(texts: pa.Array, most: int = 8_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts with a bounded sum of bytes (a single longer text stands alone)."""
     sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
     start = total = 0
@@ -334,6 +368,7 @@ def encode_documents(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", t
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(counts, pa.int64()), *(pa.array(p, pa.string()) for p in parts)],
                     names=["id", "n_tokens", *names])
+        pa.default_memory_pool().release_unused()
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, n_tokens long, {names[0]} string, {names[1]} string").withColumnRenamed("id", id_col)
