@@ -37,6 +37,40 @@ def test_near_documents(spark):
     assert neardup.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_documents_with_several_texts(spark):
+    rng = random.Random(9)
+    a, b, c = (prose(rng, 70) for _ in range(3))
+    rows = [(1, a), (1, b), (2, a + " more"), (15, a + " and"), (15, c), (13, c + " more"), (12, b + " more"), (20, prose(rng, 50)), (20, None), (21, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.kept) for r in neardup.near_duplicates(df).collect()}
+    assert got == {1: (1, True), 2: (1, False), 12: (1, False), 13: (1, False), 15: (1, False), 20: (20, True), 21: (21, True)}
+
+
+def test_copies_around_the_threshold(spark):
+    """A group whose members are partly linked, as by comparing all pairs that share a bucket."""
+    import pyarrow as pa
+    rng = random.Random(3)
+    base, docs = [f"w{i}" for i in range(150)], []
+    for i in range(160):
+        words = list(base)
+        for _ in range(rng.randint(0, 9)):
+            words[rng.randrange(150)] = f"x{rng.randrange(10**6)}" if i % 3 else f"x{rng.randrange(4)}"
+        docs.append((i, " ".join(words + words[: 20 * (i % 5 == 0)])))
+    words = neardup.Words()
+    sets = [neardup.shingles(w) for w in words(pa.array([t for _, t in docs]))]
+    bands = neardup.band_values(neardup.signatures(sets, neardup.BANDS * neardup.ROWS))
+    from brute import Sets
+    links = Sets(range(160))
+    for i in range(160):
+        for j in range(i):
+            if (bands[i] == bands[j]).any() and neardup.similarity(sets[i], sets[j]) >= 0.8:
+                links.join(i, j)
+    want = [links.find(i) for i in range(160)]
+    assert 5 < len(set(want)) < 130
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(6)).collect()}
+    assert [got[i] for i in range(160)] == want
+
+
 def test_similarity_and_signatures():
     rng = random.Random(6)
     words = neardup.Words()
@@ -48,6 +82,7 @@ def test_similarity_and_signatures():
         a, b = (neardup.shingles(w) for w in words(pa.array(texts)))
         want = probability_jaccard(shingle_counts(texts[0]), shingle_counts(texts[1]))
         assert abs(neardup.similarity(a, b) - want) < 1e-9
+        assert abs(neardup.set_similarity(a, b) - want) < 1e-9
         s = neardup.signatures([a, b], 4000)
         assert abs((s[0] == s[1]).mean() - want) < 0.06
     assert neardup.similarity(a, (np.zeros(0, np.uint64), np.zeros(0, int))) == 0

@@ -20,14 +20,17 @@ def _smallest(edges: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
-    """node, component (the smallest node reachable) of every node that has a link to another."""
-    spark = links.sparkSession
+    """node, component (the smallest node reachable) of every node that has a link to another.
+
+    Nodes are of any type that Spark orders and hashes (numbers, strings, binary).
+    """
+    spark, kind = links.sparkSession, links.schema[a].dataType.simpleString()
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     path = shared_folder(spark, "links")
     edges.write.parquet(path)
     before = None
     while True:
-        edges = spark.read.schema("u long, v long").parquet(path)
+        edges = spark.read.schema(f"u {kind}, v {kind}").parquet(path)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(state) == before:
             break

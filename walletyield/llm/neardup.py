@@ -8,16 +8,20 @@ shingle that reaches it first, and a shingle stops once its next point comes lat
 last register was reached. Two registers agree with the probability Jaccard similarity, so
 bands of registers gather candidates, which are verified by the exact similarity.
 
-Documents with equal weighted shingles are one class with the smallest doc_id standing for
-it. In a bucket every representative is compared with the smallest one first; only where a
-bucket still holds several components are the others compared, those of different
-components. So a bucket of thousands of copies costs thousands of comparisons, and no pair
-of a bucket that could join two components is left out.
+Documents with equal weighted shingles are one node. Every bucket has a centre, the node with
+the most company in its buckets, and all others of the bucket are compared with it first; so a
+bucket of thousands of copies costs thousands of comparisons. Nodes of buckets that still hold
+several components after that are joined exactly, by prefixes: of two sets with a similarity of
+``least`` or more, the first common shingle in a global order, rare ones first, stands among
+the first of each (those before it are missing from the other set, and their weight is
+bounded). Only shingles in the prefixes of several components count, and on each of them the
+members of its largest component aren't compared among themselves. A copy that differs too
+much from the others has a prefix of its own and meets none of them.
 
 Null and empty texts, and texts without words, have no shingles and link with nothing. Rows
 without an id are left out of the result; rows that repeat a doc_id with another text belong
-to the class of each of their texts. Extra columns are dropped, an empty table gives no
-rows, and long texts count whole.
+to the class of each of their texts, which is then one class. Extra columns are dropped, an
+empty table gives no rows, and long texts count whole.
 """
 
 from __future__ import annotations
@@ -41,6 +45,9 @@ BANDS = 25
 ROWS = 5
 #: Bytes of text that a task turns into shingles at a time.
 SLICE_BYTES = 3_000_000
+#: Pairs that are compared in one group, and slots of the table of shingle frequencies.
+GROUP_PAIRS = 500
+SLOTS = 1 << 20
 EDGES = ".,;:!?\"'()[]{}<>|%&#*$-_/\\~`^+=…«»“”‘’¿¡"
 
 
@@ -153,37 +160,108 @@ def describe(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
     return docs.mapInArrow(run, "doc_id long, digest binary, bands array<long>")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
+def set_similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """``similarity``, by counting alone where no shingle occurs twice."""
+    if a[1].max(initial=1) > 1 or b[1].max(initial=1) > 1:
+        return similarity(a, b)
+    both = len(np.intersect1d(a[0], b[0], assume_unique=True))
+    return both / max(1, len(a[0]) + len(b[0]) - both)
+
+
+def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, shingles (sorted), times of the nodes (node, rep: a document that has it)."""
+    rows = present(docs, nodes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
+
+    def run(batches):
+        words = Words()
+        for batch in batches:
+            for lo, hi in slices(batch.column(1), SLICE_BYTES):
+                sets = [s for w in words(batch.column(1).slice(lo, hi - lo)) if len((s := shingles(w))[0])]
+                digest = [hashlib.blake2b(s.tobytes() + n.tobytes(), digest_size=16).digest() for s, n in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(digest, pa.binary()), pa.array([s.view(np.int64) for s, _ in sets], pa.list_(pa.int64())),
+                     pa.array([n for _, n in sets], pa.list_(pa.int64()))], names=["node", "shingles", "times"])
+
+    found = rows.mapInArrow(run, "node binary, shingles array<long>, times array<long>")
+    return found.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
+
+
+def _sets(table: pa.Table | pa.RecordBatch, shingles_: str, times: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    out = []
+    for s, n in zip(table[shingles_], table[times]):
+        out.append((s.values.to_numpy(zero_copy_only=False).view(np.uint64), n.values.to_numpy(zero_copy_only=False)))
+    return out
+
+
+def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose similarity is at least ``least``.
 
-    Only texts of documents in pairs move; a document in very many pairs is the ``a`` of
-    most of them, on which Spark may split the join.
+    Pairs are dealt into groups of about ``GROUP_PAIRS``; a node that is the ``a`` of very
+    many is in several groups, and its set goes to each of them once.
     """
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = stored(present(docs, ids, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text")), "pair-texts")
-    both = (pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-            .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-            .select("a", "b", "text_a", "text_b"))
+    own = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP_PAIRS).alias("parts"))
+    dealt = stored(pairs.join(own, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts"))).select("a", "b", "part"), "pairs")
+    groups = max(1, -(-dealt.count() // GROUP_PAIRS))
+    group = F.pmod(F.xxhash64("a", "part"), F.lit(groups)).alias("group")
+    left = dealt.select("a", "part").distinct().join(sets.withColumnRenamed("node", "a"), "a").select(group, "a", "shingles", "times")
+    right = (dealt.join(sets.withColumnRenamed("node", "b"), "b")
+             .select(group, *(F.col(c).alias(f"{c}_2") for c in ("a", "b", "shingles", "times"))))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        known = dict(zip(left["a"].to_pylist(), _sets(left, "shingles", "times")))
+        keep = [set_similarity(known[a], s) >= least for a, s in zip(right["a_2"].to_pylist(), _sets(right, "shingles_2", "times_2"))]
+        return right.select(["a_2", "b_2"]).rename_columns(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return left.groupBy("group").cogroup(right.groupBy("group")).applyInArrow(run, "a binary, b binary")
+
+
+def prefixes(sets: DataFrame, least: float) -> DataFrame:
+    """node, shingle, place, size of the shingles that may be the first a near set has in common.
+
+    The order puts shingles first whose hash slot is rare among these sets (a table of a
+    fixed number of slots, whatever the data). ``size`` is the number of shingles of a set
+    without repeated ones, else null: then places say nothing.
+    """
+    slot = F.pmod(F.col("shingle"), F.lit(SLOTS))
+    taken = sets.select(F.explode("shingles").alias("shingle")).groupBy(slot.alias("slot")).count().toArrow()
+    frequency = np.zeros(SLOTS, np.int64)
+    frequency[taken["slot"].to_numpy()] = taken["count"].to_numpy()
+    shared = sets.sparkSession.sparkContext.broadcast(frequency)
 
     def run(batches):
-        words, known = Words(), {}
+        frequency = shared.value
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in slices(batch.column(3), SLICE_BYTES):
-                new = [i for i in dict.fromkeys(range(lo, hi)) if a[i] not in known]
-                if len(known) > 200:
-                    known.clear()
-                    new = list(range(lo, hi))
-                new = list({a[i]: i for i in new}.values())
-                for s, e in slices(batch.column(2).take(pa.array(new, pa.int64())), SLICE_BYTES):
-                    for i, w in zip(new[s:e], words(batch.column(2).take(pa.array(new[s:e], pa.int64())))):
-                        known[a[i]] = shingles(w)
-                own = [shingles(w) for w in words(batch.column(3).slice(lo, hi - lo))]
-                keep = [similarity(known[a[i]], s) >= least for i, s in zip(range(lo, hi), own)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo)],
-                                                 names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return both.mapInArrow(run, "a long, b long")
+            node, shingle, place, size = [], [], [], []
+            for name, (s, n) in zip(batch["node"].to_pylist(), _sets(batch, "shingles", "times")):
+                order = np.lexsort((s, frequency[s.view(np.int64) % SLOTS]))
+                before = np.cumsum(n[order]) - n[order]
+                first = int((before <= (1 - least) * n.sum() + 1e-9).sum())
+                node += [name] * first
+                shingle.append(s[order[:first]].view(np.int64))
+                place.append(np.arange(first))
+                size += [len(s) if n.max() == 1 else None] * first
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node, pa.binary()), pa.array(np.concatenate(shingle or [np.zeros(0, np.int64)])),
+                 pa.array(np.concatenate(place or [np.zeros(0, np.int64)])), pa.array(size, pa.int64())], names=["node", "shingle", "place", "size"])
+
+    return sets.mapInArrow(run, "node binary, shingle long, place long, size long")
+
+
+def prefix_pairs(entries: DataFrame, least: float) -> DataFrame:
+    """Distinct (a, b), a < b, of nodes of different components whose prefixes meet.
+
+    ``entries`` are prefixes with the nodes' ``component``.
+    """
+    held = entries.groupBy("shingle", "component").agg(F.count("*").alias("n")).groupBy("shingle").agg(
+        F.max_by("component", F.struct("n", "component")).alias("major"), F.count("*").alias("components"))
+    mixed = stored(entries.join(held.where("components > 1"), "shingle").drop("components"), "prefixes")
+    minor = mixed.where("component <> major")
+    other = mixed.select("shingle", *(F.col(c).alias(f"{c}_2") for c in ("node", "component", "place", "size")), (F.col("component") == F.col("major")).alias("is_major"))
+    # sets without repeated shingles: how many they must have in common, and so how far a first common one can stand
+    common = F.ceil(F.lit(least / (1 + least)) * (F.col("size") + F.col("size_2")) - 1e-9)
+    near = F.coalesce((F.col("place") <= F.col("size") - common) & (F.col("place_2") <= F.col("size_2") - common), F.lit(True))
+    pairs = minor.join(other, "shingle").where((F.col("component") != F.col("component_2")) & (F.col("is_major") | (F.col("node") < F.col("node_2"))) & near)
+    return pairs.select(F.least("node", "node_2").alias("a"), F.greatest("node", "node_2").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text",
@@ -192,32 +270,36 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id
     docs = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"),
                                                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     described = stored(describe(docs, bands, rows), "minhash")
-    member = described.where("digest IS NOT NULL").select("doc_id", "digest").distinct()
-    rep_of = member.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    listed = (described.join(rep_of, (described.doc_id == rep_of.rep) & (described.digest == rep_of.digest))
-              .select("rep", F.posexplode("bands").alias("band", "value")).distinct())
-    buckets = (listed.groupBy("band", "value").agg(F.min("rep").alias("center"), F.count("*").alias("n"))
-               .where("n > 1").drop("n"))
-    shared = stored(listed.join(buckets, ["band", "value"]).select("band", "value", "rep", "center"), "buckets")
-    stars = stored(shared.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
-    links = stored(verified(stars, docs, least), "links")
-    # buckets that still hold several components
-    of = components(links, "a", "b").withColumnRenamed("node", "rep")
-    parted = shared.join(of, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    member = described.where("digest IS NOT NULL").select("doc_id", F.col("digest").alias("node")).distinct()
+    listed = (described.where("digest IS NOT NULL").groupBy(F.col("digest").alias("node")).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+              .select("node", "rep", F.posexplode("bands").alias("band", "value")))
+    held = listed.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(listed.join(held, ["band", "value"]), "buckets")
+    company = shared.groupBy("node").agg(F.sum("n").alias("company"))
+    centers = (shared.select("node", "band", "value").join(company, "node").groupBy("band", "value")
+               .agg(F.max_by("node", F.struct("company", "node")).alias("center")))
+    sets = stored(shingle_sets(docs, shared.select("node", "rep").distinct()), "sets")
+    stars = stored(shared.join(centers, ["band", "value"]).where("node <> center")
+                   .select(F.col("center").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    links = stored(verified(stars, sets, least), "links")
+    # the texts of one document are of one class
+    several = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id", "a")
+    links = links.union(several.join(member, "doc_id").where("node <> a").select("a", F.col("node").alias("b")))
+    of = components(links, "a", "b")
+    # nodes of buckets that still hold several components
+    parted = shared.join(of, "node", "left").select("node", "band", "value", F.coalesce("component", "node").alias("component"))
     mixed = (parted.groupBy("band", "value").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .where("low < high").select("band", "value"))
-    parted = stored(parted.join(mixed, ["band", "value"]).where("rep <> center").select("band", "value", "rep", "component"), "mixed")
-    other = parted.select("band", "value", F.col("rep").alias("b"), F.col("component").alias("other"))
-    rest = (parted.withColumnRenamed("rep", "a").join(other, ["band", "value"])
-            .where("component < other").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            .join(stars, ["a", "b"], "left_anti"))
+    open_ = stored(parted.join(mixed, ["band", "value"]).select("node", "component").distinct(), "open")
+    entries = prefixes(sets.join(open_.select("node"), "node", "left_semi"), least).join(open_, "node")
+    met = F.array_sort(F.array("a", "b"))
+    rest = prefix_pairs(entries, least).join(stars.select(met[0].alias("a"), met[1].alias("b")), ["a", "b"], "left_anti")
     rest = stored(rest, "rest")
     if not rest.isEmpty():
-        links = links.union(stored(verified(rest, docs, least), "links"))
-        of = components(links, "a", "b").withColumnRenamed("node", "rep")
-    # a doc_id with several texts is in several classes, which it joins
-    classes = rep_of.join(of, "rep", "left").select("digest", F.coalesce("component", "rep").alias("class_id"))
-    placed = member.join(classes, "digest").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
+        of = components(links.union(stored(verified(rest, sets, least), "links")), "a", "b")
+    placed = member.join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    classes = placed.groupBy("component").agg(F.min("doc_id").alias("class_id"))
+    placed = placed.join(classes, "component").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     return (docs.select("doc_id").distinct().join(placed, "doc_id", "left")
             .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
             .withColumn("kept", F.col("doc_id") == F.col("class_id")))
