@@ -203,8 +203,9 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     dealt = stored(pairs.join(own, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts"))).select("a", "b", "part"), "pairs")
     groups = max(1, -(-dealt.count() // GROUP_PAIRS))
     group = F.pmod(F.xxhash64("a", "part"), F.lit(groups)).alias("group")
-    left = dealt.select("a", "part").distinct().join(sets.withColumnRenamed("node", "a"), "a").select(group, "a", "shingles", "times")
-    right = (dealt.join(sets.withColumnRenamed("node", "b"), "b")
+    of_a, of_b = (present(sets.withColumnRenamed("node", c), dealt.select(c).distinct(), c) for c in ("a", "b"))
+    left = dealt.select("a", "part").distinct().join(of_a, "a").select(group, "a", "shingles", "times")
+    right = (dealt.join(of_b, "b")
              .select(group, *(F.col(c).alias(f"{c}_2") for c in ("a", "b", "shingles", "times"))))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -276,8 +277,8 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id
     held = listed.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
     shared = stored(listed.join(held, ["band", "value"]), "buckets")
     company = shared.groupBy("node").agg(F.sum("n").alias("company"))
-    centers = (shared.select("node", "band", "value").join(company, "node").groupBy("band", "value")
-               .agg(F.max_by("node", F.struct("company", "node")).alias("center")))
+    centers = stored(shared.select("node", "band", "value").join(company, "node").groupBy("band", "value")
+                     .agg(F.max_by("node", F.struct("company", "node")).alias("center")), "centers")
     sets = stored(shingle_sets(docs, shared.select("node", "rep").distinct()), "sets")
     stars = stored(shared.join(centers, ["band", "value"]).where("node <> center")
                    .select(F.col("center").alias("a"), F.col("node").alias("b")).distinct(), "stars")
@@ -286,12 +287,13 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id
     several = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id", "a")
     links = links.union(several.join(member, "doc_id").where("node <> a").select("a", F.col("node").alias("b")))
     of = components(links, "a", "b")
-    # nodes of buckets that still hold several components
-    parted = shared.join(of, "node", "left").select("node", "band", "value", F.coalesce("component", "node").alias("component"))
+    # nodes of buckets that still hold several components, but for the centres, which have met all others
+    parted = (shared.join(of, "node", "left").join(centers, ["band", "value"]).where("node <> center")
+              .select("node", "band", "value", F.coalesce("component", "node").alias("component")))
     mixed = (parted.groupBy("band", "value").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .where("low < high").select("band", "value"))
     open_ = stored(parted.join(mixed, ["band", "value"]).select("node", "component").distinct(), "open")
-    entries = prefixes(sets.join(open_.select("node"), "node", "left_semi"), least).join(open_, "node")
+    entries = prefixes(present(sets, open_.select("node"), "node"), least).join(open_, "node")
     met = F.array_sort(F.array("a", "b"))
     rest = prefix_pairs(entries, least).join(stars.select(met[0].alias("a"), met[1].alias("b")), ["a", "b"], "left_anti")
     rest = stored(rest, "rest")
