@@ -105,13 +105,14 @@ def test_a_crash_leaves_nothing_to_a_retry(spark, tmp_out, rates, monkeypatch):
 
 
 def test_replayed_batches(spark, tmp_out):
-    from walletyield.streaming.cdc import balance_upsert_batch, latest, window_upsert_batch
+    from walletyield.streaming.cdc import balance_upsert_batch, latest, read_state, window_upsert_batch
     batches = [cdc_frame(spark, [(1, 1, "2024-01-01 00:00:00", 5), (2, 2, "2024-01-01 00:00:00", 7)]),
                cdc_frame(spark, [(3, 1, "2024-01-02 00:00:00", 10)]), cdc_frame(spark, [(4, 1, "2024-01-03 00:00:00", 1)])]
     args = [f"{tmp_out}/{x}" for x in ("state", "out", "late")]
     for i in (0, 1, 1, 2, 2):
         balance_upsert_batch(batches[i], i, *args)
-    assert sorted((r.user_id, r.balance) for r in latest(spark, args[0]).collect()) == [(1, 16), (2, 7)]
+    assert sorted((r.user_id, r.balance) for r in read_state(spark, args[0]).collect()) == [(1, 16), (2, 7)]
+    assert spark.read.parquet(f"{args[0]}/v=2").count() == 1  # the user of the batch, not all users
     assert spark.read.parquet(f"{args[1]}/batch=1").count() == 1 and spark.read.parquet(f"{args[1]}/batch=2").count() == 1
     table = f"{tmp_out}/windows"
     w = [spark.createDataFrame([(dt.datetime(2024, 1, d), n)], "window_start timestamp_ntz, movements long") for d, n in ((1, 4), (2, 5), (2, 6))]
@@ -121,6 +122,24 @@ def test_replayed_batches(spark, tmp_out):
     shutil.rmtree(table)
 
 
+def test_logs_of_batches_are_compacted(spark, tmp_out, monkeypatch):
+    from walletyield.streaming import cdc
+    monkeypatch.setattr(cdc, "COMPACT_AFTER", 2)
+    batches = [cdc_frame(spark, [(i, i % 3, f"2024-01-{i + 1:02} 00:00:00", i + 1), (100 + i, 7, f"2024-01-{9 - i:02} 12:00:00", 1)]) for i in range(7)]
+    args, days = [f"{tmp_out}/{x}" for x in ("state", "out", "late")], f"{tmp_out}/days"
+    for i in (0, 1, 1, 2, 3, 4, 5, 5, 6):
+        cdc.balance_upsert_batch(batches[i], i, *args)
+        cdc.daily_movements_batch(batches[i], i, days)
+    want = {0: 1 + 4 + 7, 1: 2 + 5, 2: 3 + 6, 7: 7}
+    assert {r.user_id: r.balance for r in cdc.read_state(spark, args[0]).collect()} == want
+    newest = {r.user_id: r.balance for r in ledger_state(cdc.read_balances(spark, *args)).collect()}
+    assert newest == want
+    got = {(r.window_start.day): (r.movements, int(r.net_change)) for r in cdc.read_daily_movements(spark, days).collect()}
+    assert got == {d: ((d <= 7) + (d >= 3), (d if d <= 7 else 0) + (d >= 3)) for d in range(1, 10)}
+    import os
+    assert len([n for n in os.listdir(days) if not n.startswith("_")]) < 7
+
+
 def test_asof_join_nulls_and_tolerance(spark):
     left = spark.createDataFrame([(1, 10, "a"), (None, 10, "b"), (1, None, "c"), (1, 50, "d"), (2, 10, "e")], "k int, t int, v string")
     right = spark.createDataFrame([(1, 5, 10), (None, 5, 20), (1, None, 30), (2, 10, 40)], "k int, t2 int, w int")

@@ -12,7 +12,7 @@ from walletyield.config import WALLET_HISTORY
 from walletyield.operators import sinks as S
 from walletyield.plans import fixtures as X
 from walletyield.plans.catalog import register
-from walletyield.plans.store import read_payouts
+from walletyield.plans.store import read_history, read_intervals, read_payouts
 from walletyield.session import scratch_path
 from walletyield.sources import read_cdc_csv, read_log_text, read_rate_series, read_table
 
@@ -83,34 +83,109 @@ def q_write_history_overwrite(spark, sf):
     return spark.read.parquet(d)
 
 
+def _feeds(spark, sf, d, **parts):
+    """The CDC feed written as CSV, one folder for each condition, and the rate files."""
+    c = X.cdc(spark, sf)
+    for name, cond in parts.items():
+        S.write_cdc_csv(c if cond is None else c.where(cond), f"{d}/{name}")
+    X.annual_rates(spark, sf).select("rate_date", F.col("annual_rate").cast("string").alias("annual_rate")) \
+        .write.option("header", True).csv(f"{d}/rates")
+
+
+def _config(d, feed, run, start=None, end=None):
+    from walletyield.plans.pipeline import PipelineConfig
+    return PipelineConfig(f"{d}/{feed}", f"{d}/rates", f"{d}/tables", X.AS_OF, start=start, end=end, run_id=run)
+
+
+CUT = dt.date(2024, 1, 15)
+
+
+def _before_cut():
+    return F.col("ts") < F.lit(dt.datetime.combine(CUT, dt.time())).cast("timestamp_ntz")
+
+
 @register("pipeline_main", "SELECT payout_date, user_id, calculated_amount FROM payouts_s")
 def q_pipeline_main(spark, sf):
-    from walletyield.plans.pipeline import PipelineConfig, pipeline_main
+    from walletyield.plans.pipeline import pipeline_main
     d = _dir(spark, "pipe")
-    S.write_cdc_csv(X.cdc(spark, sf), f"{d}/raw")
-    X.annual_rates(spark, sf).select("rate_date", F.col("annual_rate").cast("string").alias("annual_rate")) \
-        .write.option("header", True).csv(f"{d}/rates")
-    cfg = PipelineConfig(raw_cdc_path=f"{d}/raw", rates_path=f"{d}/rates", out_dir=f"{d}/tables",
-                         as_of=X.AS_OF, run_id=1)
-    pipeline_main(spark, cfg)
-    return read_payouts(spark, cfg.out_dir)
+    _feeds(spark, sf, d, raw=None)
+    pipeline_main(spark, _config(d, "raw", 1))
+    return read_payouts(spark, f"{d}/tables")
 
 
 @register("pipeline_increment", "SELECT payout_date, user_id, calculated_amount FROM payouts_s")
 def q_pipeline_increment(spark, sf):
     """Two daily-style runs (before / from 2024-01-15), each reading only its
     own CDC files; the published payouts equal the full run's."""
-    from walletyield.plans.pipeline import PipelineConfig, pipeline_increment
+    from walletyield.plans.pipeline import pipeline_increment
     d = _dir(spark, "inc")
-    c = X.cdc(spark, sf)
-    cut = F.lit(dt.datetime(2024, 1, 15)).cast("timestamp_ntz")
-    S.write_cdc_csv(c.where(F.col("ts") < cut), f"{d}/a")
-    S.write_cdc_csv(c.where(F.col("ts") >= cut), f"{d}/b")
-    X.annual_rates(spark, sf).select("rate_date", F.col("annual_rate").cast("string").alias("annual_rate")) \
-        .write.option("header", True).csv(f"{d}/rates")
+    _feeds(spark, sf, d, a=_before_cut(), b=~_before_cut())
     first, last = X.period(spark, sf).first()
-    pipeline_increment(spark, PipelineConfig(f"{d}/a", f"{d}/rates", f"{d}/tables", X.AS_OF,
-                                             start=first, end=dt.date(2024, 1, 14), run_id=1))
-    pipeline_increment(spark, PipelineConfig(f"{d}/b", f"{d}/rates", f"{d}/tables", X.AS_OF,
-                                             start=dt.date(2024, 1, 15), end=last, run_id=2))
+    pipeline_increment(spark, _config(d, "a", 1, first, CUT - dt.timedelta(days=1)))
+    pipeline_increment(spark, _config(d, "b", 2, CUT, last))
     return read_payouts(spark, f"{d}/tables")
+
+
+def _late_runs(spark, sf):
+    """A full run without every seventh old movement, then an increment that brings them
+    together with the new ones and pays the new days only."""
+    from walletyield.plans.pipeline import pipeline_increment, pipeline_main
+    d = _dir(spark, "late")
+    on_time = _before_cut() & (F.col("seq") % 7 != 3)
+    _feeds(spark, sf, d, a=on_time, b=~on_time)
+    first, last = X.period(spark, sf).first()
+    pipeline_main(spark, _config(d, "a", 1, first, CUT - dt.timedelta(days=1)))
+    pipeline_increment(spark, _config(d, "b", 2, CUT, last))
+    return f"{d}/tables"
+
+
+@register("payouts_late", "SELECT payout_date, user_id, calculated_amount FROM payouts_s")
+def q_payouts_late(spark, sf):
+    """Movements that arrive after their days were paid: the payouts equal those of one run
+    over all movements."""
+    return read_payouts(spark, _late_runs(spark, sf))
+
+
+@register("published_totals", """
+SELECT payout_date, count(*) AS payouts, CAST(sum(calculated_amount) AS DECIMAL(18,2)) AS total
+FROM payouts_s GROUP BY payout_date""")
+def q_published_totals(spark, sf):
+    """SQL over the committed tables, opened as views."""
+    from walletyield.plans.pipeline import open_tables
+    from walletyield.sources import sql_query
+    open_tables(spark, _late_runs(spark, sf))
+    return sql_query(spark, """SELECT payout_date, count(*) AS payouts, CAST(sum(calculated_amount) AS DECIMAL(18,2)) AS total
+                               FROM daily_bonus_payouts JOIN users USING (user_id) GROUP BY payout_date""")
+
+
+@register("stored_ids", """
+SELECT 'wallet_history' AS table_name, count(*) AS n, count(*) AS ids, CAST(1 AS BIGINT) AS lowest, count(*) AS highest FROM history_s
+UNION ALL
+SELECT 'daily_bonus_payouts', count(*), count(*), CAST(1 AS BIGINT), count(*) FROM payouts_s""")
+def q_stored_ids(spark, sf):
+    """``history_id`` and ``payout_id`` of a full run: dense and unique, from the files' blocks."""
+    from walletyield.plans.pipeline import pipeline_main
+    d = _dir(spark, "ids")
+    _feeds(spark, sf, d, raw=None)
+    pipeline_main(spark, _config(d, "raw", 1))
+
+    def summary(rows, id_col, name):
+        return rows.agg(F.count("*").alias("n"), F.count_distinct(id_col).alias("ids"), F.min(id_col).alias("lowest"),
+                        F.max(id_col).alias("highest")).select(F.lit(name).alias("table_name"), "n", "ids", "lowest", "highest")
+
+    return (summary(read_history(spark, f"{d}/tables", ids=True), "history_id", "wallet_history")
+            .unionByName(summary(read_payouts(spark, f"{d}/tables", ids=True), "payout_id", "daily_bonus_payouts")))
+
+
+@register("stored_validity", """
+SELECT user_id, ts, amount_change, balance, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, seq) AS nxt FROM history_s""")
+def q_stored_validity(spark, sf):
+    """Ends of validity of a ledger of two runs and its compaction, read without a sort."""
+    from walletyield.plans.pipeline import compact_history, pipeline_increment, pipeline_main
+    d = _dir(spark, "validity")
+    _feeds(spark, sf, d, a=_before_cut(), b=~_before_cut())
+    first, last = X.period(spark, sf).first()
+    pipeline_main(spark, _config(d, "a", 1, first, CUT - dt.timedelta(days=1)))
+    pipeline_increment(spark, _config(d, "b", 2, CUT, last))
+    compact_history(spark, f"{d}/tables", 3)
+    return read_intervals(spark, f"{d}/tables").select("user_id", "ts", "amount_change", "balance", "nxt")

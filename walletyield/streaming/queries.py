@@ -65,3 +65,18 @@ def q_stream_balance_upsert(spark, sf):
         S.run_available_now(S.read_cdc_stream(spark, src, max_files_per_trigger=8), f"{base}/ckpt",
                             foreach_batch=lambda df, i: S.balance_upsert_batch(df, i, state, out, late))
     return S.read_balances(spark, state, out, late)
+
+
+@register("stream_daily_movements_late", """
+SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, COUNT(*) AS movements,
+       CAST(SUM(amount_change) AS DECIMAL(18,2)) AS net_change
+FROM cdc GROUP BY 1""")
+def q_stream_daily_movements_late(spark, sf):
+    """Every tenth movement arrives weeks behind all others, far past any watermark."""
+    base = _run_dir(spark, "daily-late")
+    c, src, table = X.cdc(spark, sf), f"{base}/in", f"{base}/table"
+    for part, slices in ((c.where(F.col("seq") % 10 != 0), 4), (c.where(F.col("seq") % 10 == 0), 1)):
+        S.write_in_time_slices(part, src, slices)
+        S.run_available_now(S.read_cdc_stream(spark, src, max_files_per_trigger=8), f"{base}/ckpt",
+                            foreach_batch=lambda df, i: S.daily_movements_batch(df, i, table))
+    return S.read_daily_movements(spark, table)
