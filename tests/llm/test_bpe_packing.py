@@ -33,7 +33,8 @@ def odd_texts(n):
 
 def test_words_as_the_library(library):
     own = WordBpe(PATH)
-    for t in odd_texts(1500)[1:]:
+    long = ["ab" * 3000, "é" * 500, "漢" * 300, "thetion" * 90, "".join(random.choice("abcdeéñ") for _ in range(700))]
+    for t in odd_texts(1500)[1:] + long:
         ids = library.encode(t, add_special_tokens=False).ids
         assert own.encode(t) == ids, repr(t)
         assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)

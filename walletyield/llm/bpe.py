@@ -158,9 +158,6 @@ class WordBpe:
         head: list[int] = []  # and of the longest end of the prefix that begins a token
         names = {w if w.isascii() else w.encode("utf-8").decode("latin-1").translate(letter_of): w for w in words}
         for name in sorted(names):
-            if len(name) > 64:  # one long run of letters: the library's merges, no trie
-                out[names[name]] = self.library.encode(names[name], add_special_tokens=False).tokens
-                continue
             n, depth = len(name) - 1, 0
             for a, b in zip(name[:n], path):
                 if a != b:
