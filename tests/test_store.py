@@ -138,6 +138,22 @@ def test_views_of_the_committed_tables(spark, three_runs):
     assert sorted(r.user_id for r in read_users(spark, three_runs).collect()) == [1, 2, 3, 5, 9]
 
 
+def test_bitmaps_of_days(spark, three_runs):
+    from walletyield.operators.bitmaps import day_bitmaps, users_by_day, users_by_month
+    from walletyield.operators.ledger import period_bounds
+    from walletyield.plans.store import read_bounds, read_day_users
+    paid = payments(spark, three_runs)
+    bitmaps = read_day_users(spark, three_runs)
+    assert {r.payout_date: r.eligible_users for r in users_by_day(bitmaps).collect()} == {
+        d: len({u for e, u, _ in paid if e == d}) for d in {d for d, _, _ in paid}}
+    assert [tuple(r) for r in users_by_month(bitmaps).collect()] == [(J(1), len({u for _, u, _ in paid}))]
+    odd = spark.createDataFrame([(J(1), u) for u in (1, 1, 32768, 32769, 0, -5, None, 10**12)] + [(J(2), 1)], "payout_date date, user_id long")
+    twice = day_bitmaps(odd).unionByName(day_bitmaps(odd))
+    assert sorted(map(tuple, users_by_day(twice).collect())) == [(J(1), 6), (J(2), 1)]
+    assert users_by_day(day_bitmaps(odd.limit(0))).collect() == []
+    assert tuple(read_bounds(spark, three_runs).first()) == tuple(period_bounds(read_history(spark, three_runs)).first())
+
+
 def test_periods():
     assert merge_periods([["2024-01-02", "2024-01-04"]], J(5), J(6)) == [["2024-01-02", "2024-01-06"]]
     assert merge_periods([["2024-01-08", "2024-01-09"], ["2024-01-02", "2024-01-04"]], J(6), J(6)) == [

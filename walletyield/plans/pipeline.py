@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from walletyield.config import DAILY_PAYOUTS, DAILY_RATES, DEFAULT, MONEY, USERS, WALLET_HISTORY, Thresholds
 from walletyield.functions import parse_cdc_ts
 from walletyield.operators import sinks
+from walletyield.operators.bitmaps import day_bitmaps
 from walletyield.operators.ledger import default_null_ts, extend_history, ledger_state, wallet_history
 from walletyield.operators.rates import load_rates, rate_asof
 from walletyield.plans import corrections
@@ -204,6 +205,8 @@ class _Run:
         """
         spark, path = self.spark, f"{self.base}/daily_bonus_payouts"
         sinks.write_table(rows, f"{path}/run={self.id}", STORED_PAYOUTS, partition_by=["payout_date"])
+        written = read_runs(spark, path, STORED_PAYOUTS, [self.id])
+        day_bitmaps(written).write.mode("overwrite").parquet(f"{self.base}/day_users/run={self.id}")
         new = allocate_ids(spark, path, STORED_PAYOUTS, self.id, self.old["next_payout_id"], ["payout_date"])
         day_rates = spark.createDataFrame(list(paid.items()), "payout_date date, daily_rate decimal(18,8)")
         new = (F.broadcast(day_rates).join(new, "payout_date", "left")

@@ -158,6 +158,19 @@ def q_published_totals(spark, sf):
                                FROM daily_bonus_payouts JOIN users USING (user_id) GROUP BY payout_date""")
 
 
+@register("eligible_users_stored", """
+SELECT 'day' AS span, payout_date AS since, COUNT(DISTINCT user_id) AS eligible_users FROM payouts_s GROUP BY payout_date
+UNION ALL
+SELECT 'month', CAST(date_trunc('month', payout_date) AS DATE), COUNT(DISTINCT user_id) FROM payouts_s GROUP BY 2""")
+def q_eligible_users_stored(spark, sf):
+    """Distinct users of days and months from the bitmaps stored by day, after late movements."""
+    from walletyield.operators.bitmaps import users_by_day, users_by_month
+    from walletyield.plans.store import read_day_users
+    bitmaps = read_day_users(spark, _late_runs(spark, sf))
+    return (users_by_day(bitmaps).select(F.lit("day").alias("span"), F.col("payout_date").alias("since"), "eligible_users")
+            .unionByName(users_by_month(bitmaps).select(F.lit("month").alias("span"), F.col("month").alias("since"), "eligible_users")))
+
+
 @register("stored_ids", """
 SELECT 'wallet_history' AS table_name, count(*) AS n, count(*) AS ids, CAST(1 AS BIGINT) AS lowest, count(*) AS highest FROM history_s
 UNION ALL

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from walletyield.config import DAILY_PAYOUTS, RATE, USERS, WALLET_HISTORY
+from walletyield.operators.bitmaps import DAY_USERS
 
 #: Stored rows of the ledger: its schema, the next movement inside the run (the end of
 #: the balance unless a later run goes on), and an id where a row brought one along.
@@ -204,6 +205,24 @@ def read_version(spark: SparkSession, base: str, table: str, schema: T.StructTyp
     return spark.createDataFrame([], schema) if run is None else spark.read.schema(schema).parquet(f"{base}/{table}/v={run}")
 
 
+def read_day_users(spark: SparkSession, base: str, facts: dict | None = None) -> DataFrame:
+    """The user bitmaps of the paid days (:mod:`walletyield.operators.bitmaps`), by the runs
+    that paid them last."""
+    base = base.rstrip("/")
+    facts = facts or commit_facts(spark, base)
+    days = read_payout_days(spark, base, facts).where("file IS NOT NULL").select("payout_date", "run").distinct()
+    runs = sorted(r.run for r in days.select("run").distinct().collect())
+    return read_runs(spark, f"{base}/day_users", DAY_USERS, runs).join(F.broadcast(days), ["payout_date", "run"], "left_semi").drop("run")
+
+
+def read_bounds(spark: SparkSession, base: str) -> DataFrame:
+    """``(min_date, max_date)`` of the committed ledger, as ``period_bounds`` gives them,
+    from the commit alone: no row and no file of the ledger is read."""
+    facts = commit_facts(spark, base)
+    first, last = (F.lit(facts[k]).cast("timestamp_ntz").cast("date") for k in ("first_ts", "last_ts"))
+    return spark.range(1).select(first.alias("min_date"), last.alias("max_date"))
+
+
 def merge_periods(periods: list[list[str]], start: dt.date, end: dt.date) -> list[list[str]]:
     """Paid periods (ISO dates, inclusive) with one more, overlapping and adjacent ones joined."""
     spans = sorted([(dt.date.fromisoformat(a), dt.date.fromisoformat(b)) for a, b in periods] + [(start, end)])
