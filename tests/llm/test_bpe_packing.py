@@ -122,3 +122,16 @@ def test_forgetting_words_changes_nothing(library, monkeypatch):
         table = bpe.ChunkTable(own, bpe.as_words(own))
         got = [bytes(x) for i in range(0, len(texts), 40) for x in table(pa.array(texts[i : i + 40], pa.string()))[0]]
         assert got == want
+
+
+def test_first_window_is_the_best_by_enumeration():
+    """The longest length is fixed; of all subsets of the others none comes closer to the capacity."""
+    rnd = random.Random(8)
+    for _ in range(60):
+        window = rnd.randint(20, 60)
+        lengths = [rnd.randint(1, window - 1) for _ in range(rnd.randint(1, 11))]
+        first = max(lengths)
+        rest = list(lengths)
+        rest.remove(first)
+        best = max(s for s in (first + sum(n for k, n in enumerate(rest) if pick >> k & 1) for pick in range(1 << len(rest))) if s <= window)
+        assert sum(fill_windows(lengths, window)[0]) == best
