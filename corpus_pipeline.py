@@ -21,29 +21,41 @@ GOOD_FROM = 0.3
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below ``TOXIC_FROM`` stay, as they are. Null texts are scored as empty ones; rows
+    without an id and repeated rows are scored like any other."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), "toxic", crc_of_id() % 4 != 2)
     return scored(docs, model, toxicity.scorer, "_toxic").where(F.col("_toxic") < TOXIC_FROM).select(docs.columns)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents from ``GOOD_FROM`` stay, as they are; odd rows as in ``drop_toxic``."""
     model = quality.train(docs, table(spark, sf_dir, "labels"), "quality", crc_of_id() % 5 != 0)
     return scored(docs, model, quality.scorer, "_good").where(F.col("_good") >= GOOD_FROM).select(docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A document that loses all its text is gone; n_chars follows the text."""
-    cleaned = linededup.dedup_lines(docs, equal_chars=1).where((F.size("removed") == 0) | (F.trim(F.translate("text", "\n\t\r", "   ")) != ""))
-    changed = {"n_chars": F.when(F.size("removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))}
-    return cleaned.withColumns(changed if "n_chars" in docs.columns else {}).select(docs.columns)
+    """Texts without lines that stand earlier in the corpus. A document that loses all its text
+    is gone; n_chars follows the text. Null and empty texts, and rows without an id, stay as they
+    are; further columns keep their values, whatever their names."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    packed = docs.select("doc_id", "text", F.struct(*others, F.lit(0).alias("_")).alias("_rest"))
+    cleaned = linededup.dedup_lines(packed, equal_chars=1).where((F.size("removed") == 0) | (F.trim(F.translate("text", "\n\t\r", "   ")) != ""))
+    columns = {c: F.col(c) if c in ("doc_id", "text") else F.col(f"_rest.{c}") for c in docs.columns}
+    if "n_chars" in columns:
+        columns["n_chars"] = (F.when(F.size("removed") == 0, columns["n_chars"])
+                              .otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return cleaned.select(*(x.alias(c) for c, x in columns.items()))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group stays; rows without an id stay."""
+    """The document with the smallest doc_id of each group stays, with all its rows; rows without
+    an id stay, and so do null and empty texts."""
     gone = neardup.near_duplicates(docs).where(~F.col("kept")).select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in windows; null texts are empty, every row is a document."""
     return packing.pack_documents(docs, WORD_VOCABULARY)
 
 
