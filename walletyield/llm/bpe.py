@@ -326,6 +326,14 @@ def chunk_table(path: str, render: Callable) -> ChunkTable:
     return ChunkTable(bpe, render(bpe))
 
 
+def release_tables() -> None:
+    """Give back what an earlier stage left in this Python worker: workers outlive stages."""
+    if chunk_table.cache_info().currsize:
+        chunk_table.cache_clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def slices(texts: pa.Array, most: int = 8_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts with a bounded sum of bytes (a single longer text stands alone)."""
     sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)

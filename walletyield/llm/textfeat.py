@@ -15,16 +15,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walletyield.llm.bpe import slices
+from walletyield.llm.bpe import release_tables, slices
 from walletyield.llm.common import stored
 
-CACHE_TOKENS = 150_000
+CACHE_TOKENS = 100_000
 
 
 class TokenRows:
     """A row of numbers for each token, remembered for tokens met before."""
 
     def __init__(self, row: Callable[[str], tuple[float, ...]]):
+        release_tables()
         self.row, self.known, self.empty = row, {}, np.array(row(""), np.float64).tobytes()
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
