@@ -135,3 +135,39 @@ def test_first_window_is_the_best_by_enumeration():
         rest.remove(first)
         best = max(s for s in (first + sum(n for k, n in enumerate(rest) if pick >> k & 1) for pick in range(1 << len(rest))) if s <= window)
         assert sum(fill_windows(lengths, window)[0]) == best
+
+
+def test_words_learnt_in_blocks(library, monkeypatch):
+    """Memory follows the block, not the words that are new in a slice, and results stay."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from walletyield.llm import bpe
+    own = WordBpe(PATH)
+    rnd = random.Random(6)
+    words = list({"".join(rnd.choices("abcdeinorstué", k=9)) for _ in range(24000)})
+
+    def peak(n):
+        table = bpe.ChunkTable(own, bpe.as_words(own))
+        own.pairs.clear()
+        tracemalloc.start()
+        (got,) = table(pa.array([" ".join(words[:n])]))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most, bytes(got[0])
+
+    monkeypatch.setattr(bpe, "CACHE_PAIRS", 1000)
+    monkeypatch.setattr(bpe, "LEARN_WORDS", 3000, raising=False)
+    few, _ = peak(3000)
+    many, got = peak(len(words))
+    assert got == b"".join(i.to_bytes(4, "little") for i in library.encode(" ".join(words), add_special_tokens=False).ids)
+    assert many < 3 * few
+
+
+def test_tokens_are_held_once():
+    own = WordBpe(PATH)
+    one = {t: t for t in own.id_of}
+    assert all(t is one[t] for names in (own.inner.values(), own.final.values(), own.made, own.halves) for t in names if t in one)
+    assert all(x is one[x] for pair in own.rank for x in pair if x in one)
+    assert own.whole.cache_info().currsize == 0

@@ -11,8 +11,9 @@ state of a node follows from the states above it.
 Null texts count as empty; an empty text has no tokens, and the hashes are those of the
 empty string. Rows that repeat, and rows without an id, are encoded like any other; extra
 columns are dropped. A very long text is a slice of its own. The memory of a task is
-bounded: when what it knows of words exceeds ``CACHE_BYTES``, the words that the texts at
-hand do not use go, which never changes a result.
+bounded: new words are learnt ``LEARN_WORDS`` at a time, and when what it knows of words
+exceeds ``CACHE_BYTES``, the words that the texts at hand do not use go, which never changes
+a result.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-CACHE_BYTES = 64_000_000
+CACHE_BYTES = 40_000_000
 CACHE_PAIRS = 150_000
+LEARN_WORDS = 20_000
+SLICE_BYTES = 4_000_000
 SPACE = regex.compile(r"\p{White_Space}+")
 #: From here on scripts differ between Unicode versions: the library's own normaliser and
 #: splitter cut a chunk that holds such a character.
@@ -67,8 +70,9 @@ class WordBpe:
         model = spec["model"]
         self.end = model["end_of_word_suffix"]
         vocab: dict[str, int] = model["vocab"]
-        pairs = (tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"])
-        self.rank = {p: i for i, p in enumerate(pairs)}
+        same = {t: t for t in vocab}  # one string for each token, whatever names it
+        pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
+        self.rank = {tuple(same.get(t, t) for t in p): i for i, p in enumerate(pairs)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
@@ -78,7 +82,7 @@ class WordBpe:
         letters = byte_letters()
         self.byte_of = {c: b for b, c in enumerate(letters)}
         self.letter_of = dict(enumerate(letters))
-        self.library = Tokenizer.from_file(path)
+        self.path = path
         self.id_of = vocab | self.special
         self.token_of = {i: t for t, i in self.id_of.items()}
         #: How a token is first made: the rank of the merge, and what it joins.
@@ -86,16 +90,23 @@ class WordBpe:
         self.halves: dict[str, tuple[str, str]] = {}
         for pair, i in self.rank.items():
             if (t := pair[0] + pair[1]) not in self.made:
+                t = same.get(t, t)
                 self.made[t], self.halves[t] = i, pair
         self.whole = lru_cache(maxsize=None)(self._whole)
         kept = [t for t in vocab if self.whole(t)]
+        self.whole.cache_clear()
         n = len(self.end)
         #: Tokens inside a word, and those that end one, by their text without the suffix.
-        self.inner = {t for t in kept if not t.endswith(self.end)}
-        self.final = {t[:-n]: t for t in kept if t.endswith(self.end)}
-        self.heads = {t[:i] for t in [*self.inner, *self.final] for i in range(1, len(t) + 1)}
+        self.inner = {t: t for t in kept if not t.endswith(self.end)}
+        self.final = {same.get(t[:-n], t[:-n]): t for t in kept if t.endswith(self.end)}
+        self.heads = {same.get(h, h) for t in [*self.inner, *self.final] for i in range(1, len(t) + 1) for h in [t[:i]]}
         self.pairs: dict[tuple[str, str], bool] = {}
 
+    @cached_property
+    def library(self) -> Tokenizer:
+        """Loaded for the first chunk or word that needs it."""
+        return Tokenizer.from_file(self.path)
+
     def _apart(self, left: str, right: str, limit: int) -> bool:
         """Whether two tokens side by side stay two until the merge of rank ``limit``.
 
@@ -172,17 +183,18 @@ class WordBpe:
                     tail = name[stop - k : stop]
                     if not reach and tail in heads:
                         reach = k
-                    if tail in inner:
+                    token = inner.get(tail)
+                    if token is not None:
                         if k > d:
                             break
                         before = last[d - k]
-                        known = pairs.get((before, tail))
-                        if known or known is None and follows(before, tail):
+                        known = pairs.get((before, token))
+                        if known or known is None and follows(before, token):
                             break
                     k -= 1
                     if k < 1:
                         break
-                last.append(tail)
+                last.append(token or tail)
                 size.append(max(k, 0))
                 head.append(reach)
             path = name[:n]
@@ -233,14 +245,24 @@ class ChunkTable:
         self.first = self.words, [pa.array(part, pa.binary()) for part in zip(*rows)]
         self.words, self.parts = self.first
 
-    def learn(self, words: list[str]) -> list[pa.Array]:
+    def learn(self, words: pa.Array) -> list[pa.Array]:
+        """The parts of each word; a block of neighbours in sorted order at a time, as the
+        tokens of a word take many times the bytes that are kept of it."""
+        order = pc.sort_indices(words)
+        made = [[p.slice(0, 0)] for p in self.parts]
         gc.disable()  # it would walk the tables again and again; nothing here makes cycles
         try:
-            tokens, render = self.bpe.encode_words(words), self.render
-            rows = [render(tokens[w]) for w in words]
+            for lo in range(0, len(words), LEARN_WORDS):
+                block = words.take(order.slice(lo, LEARN_WORDS)).to_pylist()
+                tokens = self.bpe.encode_words(block)
+                for part, column in zip(made, zip(*(self.render(tokens[w]) for w in block))):
+                    part.append(pa.array(column, pa.binary()))
         finally:
             gc.enable()
-        return [pa.array(part, pa.binary()) for part in zip(*rows)] or [p.slice(0, 0) for p in self.parts]
+        place = np.empty(len(words), np.int64)
+        place[order.to_numpy()] = np.arange(len(words))
+        place = pa.array(place)
+        return [pa.concat_arrays(part).take(place) for part in made]
 
     def split(self, chunks: pa.Array) -> pa.ListArray:
         """The words of each chunk: all letters, letters and one sign, what a regular
@@ -280,7 +302,7 @@ class ChunkTable:
         met = lists.flatten().dictionary_encode()
         at = pc.index_in(met.dictionary, self.words)
         fresh = met.dictionary.filter(at.is_null())
-        made = self.learn(fresh.to_pylist())
+        made = self.learn(fresh)
         words = pa.concat_arrays([self.words, fresh])
         parts = [pa.concat_arrays([old, new]) for old, new in zip(self.parts, made)]
         where = at.to_numpy(zero_copy_only=False).astype(np.float64)
@@ -297,6 +319,7 @@ class ChunkTable:
             at_ = np.frombuffer(made.buffers()[1], np.int32, len(made) + 1, made.offset * 4)[ends]
             data = memoryview(made.buffers()[2] or b"")
             out.append([data[a:b] for a, b in zip(at_[:-1].tolist(), at_[1:].tolist())])
+        pa.default_memory_pool().release_unused()
         if words.nbytes + sum(p.nbytes for p in parts) <= CACHE_BYTES:
             self.words, self.parts = words, parts
         else:  # those that the texts at hand do not use go
@@ -334,7 +357,7 @@ def release_tables() -> None:
         pa.default_memory_pool().release_unused()
 
 
-def slices(texts: pa.Array, most: int = 8_000_000) -> Iterator[tuple[int, int]]:
+def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of texts with a bounded sum of bytes (a single longer text stands alone)."""
     sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
     start = total = 0

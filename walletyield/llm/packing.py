@@ -55,6 +55,7 @@ def cut_pieces(docs: DataFrame, vocab_path: str, window: int = WINDOW, closing_i
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, total))],
                     names=["id", "start", "length", "ids_crc32", "doc_tokens"])
+            batch = own = data = piece = None  # else they would stay while the next batch comes in
         pa.default_memory_pool().release_unused()
 
     kind = rows.schema["id"].dataType.simpleString()
