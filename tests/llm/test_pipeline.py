@@ -91,3 +91,26 @@ def test_whole_run(spark, tmp_path):
     for p in pieces:
         tokens.setdefault((p.doc_id, p.doc_tokens), []).append(p.length)
     assert all(sum(n) % total == 0 for (_, total), n in tokens.items())
+
+
+def test_tasks_give_back_what_they_held(monkeypatch):
+    """Idle Python workers kept the memory of their last task beside the JVM's part of the work."""
+    import weakref
+
+    from walletyield.llm import common
+
+    class Held(dict):
+        pass
+
+    refs, alive = [], []
+
+    def run(batches):
+        held = Held()
+        refs.append(weakref.ref(held))
+        for b in batches:
+            held[b] = b
+            yield b
+
+    monkeypatch.setattr(common, "give_back", lambda: alive.append(refs[0]() is not None))
+    assert list(common.giving_back(run)(iter("abc"))) == ["a", "b", "c"]
+    assert alive == [False]

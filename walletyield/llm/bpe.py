@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from walletyield.llm.common import give_back, giving_back
+
 CACHE_BYTES = 40_000_000
 CACHE_PAIRS = 150_000
 LEARN_WORDS = 20_000
@@ -354,7 +356,7 @@ def release_tables() -> None:
     if chunk_table.cache_info().currsize:
         chunk_table.cache_clear()
         gc.collect()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
 
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
@@ -396,7 +398,7 @@ def encode_documents(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", t
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(counts, pa.int64()), *(pa.array(p, pa.string()) for p in parts)],
                     names=["id", "n_tokens", *names])
-        pa.default_memory_pool().release_unused()
+            batch = own = decoded = None  # else they would stay while the next batch comes in
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, n_tokens long, {names[0]} string, {names[1]} string").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(giving_back(run), f"id {kind}, n_tokens long, {names[0]} string, {names[1]} string").withColumnRenamed("id", id_col)

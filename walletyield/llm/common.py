@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +38,23 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Arrow and the C library keep it for later use."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of glibc
+        trim(0)
+
+
+def giving_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over the batches of a task; once all it held is gone, its memory is given back.
+    Python workers outlive their tasks and idle beside the JVM's part of the work."""
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 def crc_of_id(col: str = "doc_id") -> Column:
     """crc32 of the id written as text, as a long."""
     return F.crc32(F.col(col).cast("string").cast("binary"))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from walletyield.llm.bpe import slices
-from walletyield.llm.common import present, stored
+from walletyield.llm.common import giving_back, present, stored
 from walletyield.llm.components import components
 from walletyield.llm.textfeat import TokenRows
 
@@ -157,7 +157,7 @@ def describe(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(digest, pa.binary()),
                                                   pa.array(listed, pa.list_(pa.int64()))], names=["doc_id", "digest", "bands"])
 
-    return docs.mapInArrow(run, "doc_id long, digest binary, bands array<long>")
+    return docs.mapInArrow(giving_back(run), "doc_id long, digest binary, bands array<long>")
 
 
 def set_similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -182,7 +182,7 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                     [pa.array(digest, pa.binary()), pa.array([s.view(np.int64) for s, _ in sets], pa.list_(pa.int64())),
                      pa.array([n for _, n in sets], pa.list_(pa.int64()))], names=["node", "shingles", "times"])
 
-    found = rows.mapInArrow(run, "node binary, shingles array<long>, times array<long>")
+    found = rows.mapInArrow(giving_back(run), "node binary, shingles array<long>, times array<long>")
     return found.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -245,7 +245,7 @@ def prefixes(sets: DataFrame, least: float) -> DataFrame:
                 [pa.array(node, pa.binary()), pa.array(np.concatenate(shingle or [np.zeros(0, np.int64)])),
                  pa.array(np.concatenate(place or [np.zeros(0, np.int64)])), pa.array(size, pa.int64())], names=["node", "shingle", "place", "size"])
 
-    return sets.mapInArrow(run, "node binary, shingle long, place long, size long")
+    return sets.mapInArrow(giving_back(run), "node binary, shingle long, place long, size long")
 
 
 def prefix_pairs(entries: DataFrame, least: float) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from walletyield.llm.bpe import as_words, chunk_table, slices, text_rows
-from walletyield.llm.common import stored
+from walletyield.llm.common import giving_back, stored
 
 WINDOW = 4096
 CLOSING_ID = 2
@@ -56,10 +56,9 @@ def cut_pieces(docs: DataFrame, vocab_path: str, window: int = WINDOW, closing_i
                     [batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, total))],
                     names=["id", "start", "length", "ids_crc32", "doc_tokens"])
             batch = own = data = piece = None  # else they would stay while the next batch comes in
-        pa.default_memory_pool().release_unused()
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long").withColumnRenamed("id", "doc_id")
+    return rows.mapInArrow(giving_back(run), f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long").withColumnRenamed("id", "doc_id")
 
 
 def fill_windows(lengths: list[int], window: int) -> list[list[int]]:

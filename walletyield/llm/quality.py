@@ -24,6 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 
+from walletyield.llm.common import giving_back
 from walletyield.llm.textfeat import Isotonic, TokenRows, labelled_sample, sums, token_sums
 
 SAMPLE_ROWS = 8_000
@@ -178,7 +179,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, learnable: Column, row
                 [batch.column(1), batch.column(2), pa.array([x[a:b].astype(np.float32).tobytes() for a, b in cut], pa.binary()),
                  pa.array([weight[a:b].tobytes() for a, b in cut], pa.binary())], names=["y", "h", "x", "weight"]).filter(keep)
 
-    got = sample.select("text", "y", "h").mapInArrow(run, "y int, h long, x binary, weight binary").collect()
+    got = sample.select("text", "y", "h").mapInArrow(giving_back(run), "y int, h long, x binary, weight binary").collect()
     got.sort(key=lambda r: (r.h, bytes(r.x)))
     y = np.array([r.y > 0 for r in got], float)
     share = float(y.mean()) if len(y) else 0.0

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from walletyield.llm.bpe import release_tables, slices
-from walletyield.llm.common import stored
+from walletyield.llm.common import giving_back, stored
 
 CACHE_TOKENS = 100_000
 
@@ -83,13 +83,18 @@ def scored(docs: DataFrame, model, score: Callable, name: str = "score", text_co
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def scores(batches):
         of = score(shared.value)
         for batch in batches:
             texts = pa.array(batch, pa.string())
             yield pd.Series(np.concatenate([of(texts.slice(a, b - a)) for a, b in slices(texts, 3_000_000)] or [np.zeros(0)]))
 
+    of_task = giving_back(scores)
+
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return of_task(batches)
+
     return docs.withColumn(name, run(F.coalesce(F.col(text_col), F.lit(""))))
 
 

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from walletyield.llm.common import giving_back
 from walletyield.llm.textfeat import Isotonic, TokenRows, labelled_sample, token_sums
 
 SAMPLE_ROWS = 12_000
@@ -123,7 +124,7 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON_SIZE) -> dict[str, floa
     if not bad or not good:
         return {}
     odds = F.log((F.col("bad") + 0.5) / F.lit(bad + 1.0)) - F.log((F.col("good") + 0.5) / F.lit(good + 1.0))
-    rows = (sample.select("text", "y").mapInArrow(count, "term string, bad long, good long").groupBy("term")
+    rows = (sample.select("text", "y").mapInArrow(giving_back(count), "term string, bad long, good long").groupBy("term")
             .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).withColumn("odds", odds)
             .where((F.col("bad") >= max(3, 0.004 * bad)) & (F.col("odds") > 2))
             .orderBy(F.desc(F.col("odds") * F.sqrt("bad")), "term").limit(size).collect())
@@ -196,7 +197,7 @@ def sample_features(sample: DataFrame, lexicon: dict[str, float]) -> tuple[np.nd
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array([r.tobytes() for r in x], pa.binary())],
                                              names=["y", "h", "x"])
 
-    got = sorted(sample.select("text", "y", "h").mapInArrow(run, "y int, h long, x binary").collect(), key=lambda r: (r.h, bytes(r.x)))
+    got = sorted(sample.select("text", "y", "h").mapInArrow(giving_back(run), "y int, h long, x binary").collect(), key=lambda r: (r.h, bytes(r.x)))
     x = np.array([np.frombuffer(r.x) for r in got]).reshape(len(got), len(FEATURES))
     return x, np.array([r.y > 0 for r in got], np.float64)
 
